@@ -106,6 +106,50 @@ LINK_PARTS_A = ("_", ".htm")
 LINK_PART_M = "/fr/a/"
 LINKS_PER_PAGE_M = 25
 
+# --- where the fields are on a page (CSS selectors) ---------------------------
+LINK_SELECTORS_A = (
+    "a.sc-1jge648-0[href]",
+    "section.sc-b341c660-0 a[href]",
+)
+SELECTORS_A = {
+    "title": "h1.sc-9ca53b09-5",
+    "price_text": "p.sc-9ca53b09-10",
+    "breadcrumbs": "ol.sc-16q833i-0 a, ol.sc-16q833i-0 span.sc-16q833i-2",
+    "category": "div.sc-172bdcdc-0 span.sc-1x0vz2r-0.fjZBup",
+    "description": "div.sc-7378144c-0",
+    "attribute": "div.sc-cd1c365e-1.clDxnX",
+    "attribute_icon": "img[alt]",
+    "attribute_label": "span.sc-1x0vz2r-0.bXFCIH",
+    "attribute_value": "span.sc-1x0vz2r-0.fjZBup",
+    "equipment": "div.sc-cd1c365e-0.bERAxq div.sc-cd1c365e-1",
+    "equipment_name": "span.sc-1x0vz2r-0.fjZBup",
+    "seller_name": "p.sc-1l0do2b-9",
+    "shop_badge": 'svg[aria-labelledby*="ShopBadge"]',
+    "published": "time",
+    "images": "div.slick-slide img[src]",
+}
+LINK_SELECTORS_M = (
+    "div.listingBox[linkref]",
+    "h2.listingTit a[href]",
+    'a[href*="/fr/a/"]',
+)
+SELECTORS_M = {
+    "title": "h1.searchTitle",
+    "price": "h3.orangeTit",
+    "location": "h3.greyTit",
+    "amenities": "div.adFeatures div.adFeature span",
+    "description_block": "div.blockProp",
+    "description": "p",
+    "feature": "div.caractBlockProp div.adMainFeature",
+    "feature_label": "p.adMainFeatureContentLabel",
+    "feature_value": "p.adMainFeatureContentValue",
+    "gallery": "div.picturesGallery img[src]",
+    "slider": "div.flipsnap img[src]",
+    "agency": "div.businessInfo",
+    "agency_name": "span.businessName",
+    "agency_link": "a[href]",
+}
+
 # --- job defaults ------------------------------------------------------------
 WINDOW_MINUTES = 35
 TRIGGER = "15 seconds"
