@@ -1,4 +1,4 @@
-"""Dates given relative to the time of reading."""
+"""Dates given relative to the time of reading, and the day a row is filed under."""
 
 from __future__ import annotations
 
@@ -32,3 +32,9 @@ def absolute_date(text: Column, seen_at: Column) -> Column:
     within = F.when(back <= _LONGEST_STEP, back)
     when = F.timestamp_add("SECOND", -within, seen_at)
     return F.when(text != "", F.date_format(when, V.DATE_FORMAT))
+
+
+def utc_day(ts: Column) -> Column:
+    """The UTC day of a timestamp, whatever the session's time zone."""
+    days = F.floor(F.unix_seconds(ts) / F.lit(86400)).cast("int")
+    return F.date_from_unix_date(days)

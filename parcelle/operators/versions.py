@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle import fixed_values as V
+from parcelle.functions.dates import utc_day
 from parcelle.functions.text import has_text
 from parcelle.schemas import PARTITION
 
@@ -41,7 +42,7 @@ def fresh_window(
     since = cut_off(minutes, as_of)
     kept = F.col(column) >= since
     if column == "ingest_ts" and PARTITION.name in df.columns:
-        kept = kept & (F.col(PARTITION.name) >= F.to_date(since))
+        kept = kept & (F.col(PARTITION.name) >= utc_day(since))
     return df.filter(kept)
 
 
