@@ -25,5 +25,6 @@ def write_csv(df: DataFrame, path: str, squeeze: bool = False, mode: str = "erro
         rows.write.mode(mode)
         .option("header", True).option("quoteAll", True)
         .option("escape", '"').option("nullValue", "").option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )

@@ -6,9 +6,10 @@ transform, and ``parquet``, where the day is a column that writers fill in.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,12 +173,27 @@ def write_silver(
         dated = with_partition(rows)
         if rebalance:
             dated = dated.hint("rebalance", PARTITION.name)
-        writer = dated.write.option("partitionOverwriteMode", "dynamic")
-        writer.mode(APPEND if how == APPEND else "overwrite").insertInto(name)
+        if how == APPEND:
+            dated.write.insertInto(name)
+        else:
+            with _dynamic_overwrite(df.sparkSession):
+                dated.write.insertInto(name, overwrite=True)
     else:
         raise ValueError(f"unknown table provider: {provider}")
 
 
+@contextlib.contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts replace the partitions they touch; no option of the writer says so."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def unified_rows(df: DataFrame) -> DataFrame:
     """The unified columns in table order; a missing value where there must be one fails."""
     def column(field: T.StructField) -> Column:
