@@ -42,12 +42,13 @@ def parse_payload(
     A document that cannot be read gives NULL in every field. ``fields`` narrows the
     parse to what a query needs. ``keep`` names envelope columns to carry along, the
     envelope id among them as ``record_id``.
+
+    The document is unfolded by a generator, through which no filter is pushed: one
+    on a parsed field would else parse the payload again for each field it reads.
     """
     wanted = only(schema, *fields) if fields else schema
     carried = [F.col("id").alias(name) if name == "record_id" else F.col(name) for name in keep]
-    return raw.select(
-        *carried, F.from_json("payload", wanted).alias("_document")
-    ).select(*keep, "_document.*")
+    return raw.select(*carried, F.inline(F.array(F.from_json("payload", wanted))))
 
 
 def key_by_document(raw: DataFrame, schema: T.StructType) -> DataFrame:

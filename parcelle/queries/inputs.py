@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelle.sources.files import spread
+
 # The seconds added to the date tell versions of one id apart.
 LISTING_A = """
 SELECT
@@ -116,7 +118,7 @@ TABLES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def derived(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFrame:
