@@ -67,7 +67,7 @@ def named_attributes(bag: Column) -> Column:
         F.lit(text) for label in V.LABELS_A + V.LABELS_M for text in (label, label_to_column(label))
     ))
     entries = F.transform(
-        F.array_sort(F.map_entries(bag)),
+        F.sort_array(F.map_entries(bag)),
         lambda e: F.struct(
             F.coalesce(usual[e["key"]], column_name(e["key"])).alias("name"),
             F.trim(e["value"]).alias("value"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from parcelle import fixed_values as V
 from parcelle.jobs import common
 from parcelle.plans.silver import SILVER_PLANS
+from parcelle.session import size_shuffles
 from parcelle.sources import tables
 
 
@@ -23,6 +24,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         raw = tables.scan_files(spark, given.raw_files, minutes=given.window_mins)
     else:
         raw = tables.scan(spark, common.raw_table(given, given.source), given.window_mins)
+    size_shuffles(raw)
     tables.write_silver(
         SILVER_PLANS[given.source](raw),
         common.silver_table(given), given.mode, given.provider, given.rebalance,

@@ -20,6 +20,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--checkpoint", help="below spark.checkpoint.dir if not given")
     args.add_argument("--starting-offsets", choices=(kafka.EARLIEST, kafka.LATEST), default=kafka.LATEST)
     args.add_argument("--trigger", default=V.TRIGGER)
+    args.add_argument("--records-per-trigger", type=int, help="upper bound of a micro-batch")
     args.add_argument("--once", action="store_true", help="take what is there and end")
     given = args.parse_args(argv)
     spark = common.session(given, f"{given.source}-stream-raw")
@@ -27,7 +28,9 @@ def main(argv: Sequence[str] | None = None) -> None:
         records = raw_sink.file_records(spark, given.records)
     else:
         topic = given.topic or V.TOPICS[given.source]
-        records = kafka.record_stream(spark, given.bootstrap, topic, given.starting_offsets)
+        records = kafka.record_stream(
+            spark, given.bootstrap, topic, given.starting_offsets, given.records_per_trigger
+        )
     raw_sink.start_raw_sink(
         records,
         given.target or common.raw_table(given, given.source),

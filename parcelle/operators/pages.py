@@ -97,14 +97,15 @@ def positions(pages: DataFrame, links: Column, limit: int | None) -> DataFrame:
 def first_links(links: DataFrame, limit: int | None = None) -> DataFrame:
     """Links over all pages, each where it is met first, in crawl order.
 
-    Sightings are reduced to the first one before the shuffle; ``limit`` is a top-k
-    that keeps that many rows per task.
+    A link is there once per page, as :func:`page_links` gives it, so the first page
+    decides; that keeps the aggregate on fixed-width numbers, and hashed. Sightings
+    are reduced before the shuffle, and ``limit`` keeps that many rows per task.
     """
-    seen = F.min(F.struct("page_id", "pos")).alias("seen")
-    ordered = links.groupBy("link").agg(seen).orderBy("seen")
-    if limit is not None:
-        ordered = ordered.limit(limit)
-    return ordered.select("link", "seen.page_id", "seen.pos")
+    first = links.groupBy("link").agg(
+        F.min("page_id").alias("page_id"), F.min_by("pos", "page_id").alias("pos")
+    )
+    ordered = first.orderBy("page_id", "pos")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def page_images(pages: DataFrame, host: str) -> DataFrame:

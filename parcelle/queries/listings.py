@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +14,7 @@ from parcelle.queries import inputs as I
 from parcelle.queries.registry import query
 from parcelle.schemas import PAYLOAD_A, PAYLOAD_M, SILVER
 
-AS_OF = dt.datetime(1998, 1, 1)
+AS_OF = "1998-01-01 00:00:00"
 FRESH_MINUTES = 500_000
 LIST_MARK = " ## "
 
@@ -235,7 +233,7 @@ def valid_url(spark, sf_dir):
 
 @query(_with("listing_a", "fresh_a") + "SELECT id, title, ingest_ts FROM fresh_a")
 def fresh_window(spark, sf_dir):
-    fresh = versions.fresh_window(I.raw_a(spark, sf_dir), FRESH_MINUTES, AS_OF)
+    fresh = versions.fresh_window(I.raw_a(spark, sf_dir), FRESH_MINUTES, F.lit(AS_OF).cast("timestamp"))
     return _comparable(payloads.parse_payload(fresh, PAYLOAD_A, ["id", "title"]))
 
 
@@ -526,7 +524,7 @@ def silver_m(spark, sf_dir):
 
 @query(_with("listing_a", "fresh_a", "latest_fresh_a") + _silver_sql("latest_fresh_a", SILVER_A_COLUMNS))
 def silver_a_fresh(spark, sf_dir):
-    return _comparable(silver.silver_a(I.raw_a(spark, sf_dir), FRESH_MINUTES, AS_OF))
+    return _comparable(silver.silver_a(I.raw_a(spark, sf_dir), FRESH_MINUTES, F.lit(AS_OF).cast("timestamp")))
 
 
 @query(SILVER_ALL + "SELECT * FROM silver")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps are compared and formatted in UTC everywhere; the rest of the
 # cluster's own settings (executors, shuffle partitions, memory) is left alone.
@@ -67,3 +67,26 @@ def build_session(
 def _local_cores(master: str) -> int:
     inside = master.partition("[")[2].rstrip("]")
     return int(inside) if inside.isdigit() else (os.cpu_count() or 8)
+
+
+# Spark's size of a relation whose size it does not know is near this or above.
+_UNKNOWN_SIZE = 1 << 60
+_MOST_PARTITIONS = 100_000
+
+
+def size_shuffles(df: DataFrame, bytes_per_partition: int = 128 << 20) -> int:
+    """Raise the session's shuffle partitions to what an input needs, and return them.
+
+    Adaptive execution merges partitions that turn out small but never adds any, so
+    the number has to fit the largest shuffle, which carries the input's payloads.
+    The size is that of the files left after partition pruning.
+    """
+    spark = df.sparkSession
+    setting = "spark.sql.shuffle.partitions"
+    partitions = int(spark.conf.get(setting))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size < _UNKNOWN_SIZE:
+        needed = min(-(-size // bytes_per_partition), _MOST_PARTITIONS)
+        partitions = max(partitions, needed)
+        spark.conf.set(setting, str(partitions))
+    return partitions

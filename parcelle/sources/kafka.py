@@ -27,13 +27,21 @@ def sink_options(bootstrap: str, topic: str) -> dict[str, str]:
 
 
 def record_stream(
-    spark: SparkSession, bootstrap: str, topic: str, starting: str = LATEST
+    spark: SparkSession,
+    bootstrap: str,
+    topic: str,
+    starting: str = LATEST,
+    records_per_trigger: int | None = None,
 ) -> DataFrame:
     """An endless stream of (key, value) records from one topic.
 
-    ``starting`` counts only until there is a checkpoint.
+    ``starting`` counts only until there is a checkpoint. ``records_per_trigger``
+    bounds a micro-batch, so that catching up on a long topic takes many commits of
+    even size and not a single one.
     """
     options = source_options(bootstrap, topic, starting)
+    if records_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(records_per_trigger)
     return spark.readStream.format("kafka").options(**options).load().select("key", "value")
 
 
