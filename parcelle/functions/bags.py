@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from parcelle import fixed_values as V
-from parcelle.functions.text import column_name, label_to_column
+from parcelle.functions.text import column_name, label_to_column, literal_map
 from parcelle.schemas import TEXT_LIST, TEXT_MAP
 
 
@@ -63,9 +63,7 @@ def named_attributes(bag: Column) -> Column:
     the smallest raw label counts. Names of the usual labels are looked up, so that
     only unusual ones are folded row by row.
     """
-    usual = F.create_map(*(
-        F.lit(text) for label in V.LABELS_A + V.LABELS_M for text in (label, label_to_column(label))
-    ))
+    usual = literal_map({label: label_to_column(label) for label in V.LABELS_A + V.LABELS_M})
     entries = F.transform(
         F.sort_array(F.map_entries(bag)),
         lambda e: F.struct(

@@ -6,7 +6,7 @@ import functools
 import json
 import sys
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -90,7 +90,7 @@ def ascii_fold(text: Column) -> Column:
     source, target, longer = _fold_tables()
     outside = r"[^\x00-\x7F]"
     single = F.translate(text, source, target)
-    several = F.from_json(F.lit(json.dumps(longer)), "map<string,string>")
+    several = literal_map(longer)
     spelled = F.array_join(
         F.transform(F.split(single, ""), lambda c: F.coalesce(several[c], c)), ""
     )
@@ -103,6 +103,11 @@ def ascii_fold(text: Column) -> Column:
     )
 
 
+def literal_map(entries: Mapping[str, str]) -> Column:
+    """A constant map, handed over as one text, which Spark folds while planning."""
+    return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
+
+
 def _one_of(chars: Iterable[str]) -> str:
     """Pattern for any one of the characters, runs of neighbours as ranges."""
     points = sorted(map(ord, chars))

@@ -28,16 +28,8 @@ def listing_links_m(pages: DataFrame, limit: int = V.LINKS_PER_PAGE_M) -> DataFr
     """(page_id, pos, link) of the listings on result pages of source M."""
     found = extract(pages, _link_rules(V.LINK_SELECTORS_M), keep=["page_id"])
     boxes, titles, others = map(_or_empty, _tiers(V.LINK_SELECTORS_M))
-
-    def rooted(hrefs: Column) -> Column:
-        return F.transform(
-            hrefs,
-            lambda href: F.when(href.startswith("/"), text.absolute_url(href, V.BASE_URL_M))
-            .otherwise(href),
-        )
-
     links = F.filter(
-        distinct_in_order(F.array(boxes, rooted(titles), rooted(others))),
+        distinct_in_order(F.array(boxes, F.transform(titles, _rooted), F.transform(others, _rooted))),
         lambda link: link.startswith("http") & link.contains(V.LINK_PART_M),
     )
     return positions(found, links, limit)
@@ -115,7 +107,7 @@ def records_m(
         },
         keep=["page_id", "url", "_mode"],
     )
-    agency = text.absolute_url(F.get("agency_links", F.lit(0)), V.BASE_URL_M)
+    agency = _rooted(F.get("agency_links", F.lit(0)))
     pictures = F.concat("gallery", "slider")
     return fields.select("page_id", *_in_order(PAYLOAD_M.names, {
         "id": text.id_from_url(F.col("url"), id_pattern),
@@ -139,6 +131,11 @@ def _in_order(names: list[str], made: Mapping[str, Column]) -> list[Column]:
     return [made.get(name, F.col(name)).alias(name) for name in names]
 
 
+def _rooted(href: Column) -> Column:
+    """Addresses from the root of source M made absolute; others as they are."""
+    return F.when(href.startswith("/"), text.absolute_url(href, V.BASE_URL_M)).otherwise(href)
+
+
 def _hosted(pictures: Column, host: str) -> Column:
     return F.array_distinct(having(pictures, [host]))
 

@@ -23,11 +23,21 @@ from parcelle.schemas import PAYLOAD_A, PAYLOAD_M, SILVER
 
 
 def unified(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """The unified columns in order; those without an expression are typed NULLs."""
-    return df.select(*(
-        columns.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
-        for field in SILVER.fields
-    ))
+    """The unified columns in order.
+
+    Each is the given expression, else the column of that name, else a NULL of its type.
+    """
+    there = set(df.columns)
+    nothing = {kind: F.lit(None).cast(kind) for kind in {f.dataType for f in SILVER.fields}}
+
+    def column(field: T.StructField) -> Column | str:
+        if field.name in columns:
+            return columns[field.name].alias(field.name)
+        if field.name in there:
+            return field.name
+        return nothing[field.dataType].alias(field.name)
+
+    return df.select(*map(column, SILVER.fields))
 
 
 def latest_documents(
@@ -55,8 +65,7 @@ def silver_a(
         "_category": places.category_parts(c("category")),
         "_attributes": bags.named_attributes(bags.attribute_map(c("attributes"))),
     })
-    columns = _taken(PAYLOAD_A, "id", "url", "error", "title", "published_date") | {
-        "ingest_ts": c("ingest_ts"),
+    columns = {
         "site": F.lit(V.SITE_A),
         "offre": c("listing_type"),
         "price": text.price_from_text(c("price_text")),
@@ -83,12 +92,7 @@ def silver_m(
         "_place": places.paired_place(c("location_text")),
         "_attributes": bags.named_attributes(c("_bag")),
     })
-    taken = _taken(
-        PAYLOAD_M, "id", "url", "error", "title", "published_date",
-        "description_text", "features_amenities_json",
-    )
-    columns = taken | {
-        "ingest_ts": c("ingest_ts"),
+    columns = {
         "site": F.lit(V.SITE_M),
         "offre": c("listing_type"),
         "price": text.positive_price(c("price")),
@@ -126,11 +130,6 @@ def latest_listings(silver: DataFrame) -> DataFrame:
     return latest_per_key(silver, ("site", "id"), ties=("url", "title"))
 
 
-def _taken(schema: T.StructType, *names: str) -> dict[str, Column]:
-    assert set(names) <= set(schema.names)
-    return {name: F.col(name) for name in names}
-
-
 def _labelled(labels: tuple[str, ...]) -> dict[str, Column]:
     made = attribute_columns(labels, F.col("_attributes"))
     return {text.label_to_column(label): column for label, column in zip(labels, made)}

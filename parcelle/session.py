@@ -14,6 +14,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Plans here have thousands of expressions; noting the caller of each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 LOCAL_CONF = {

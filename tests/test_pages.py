@@ -83,6 +83,14 @@ def test_fields_of_source_m(spark):
     }
 
 
+def test_agency_address_has_to_be_rooted_or_whole(spark):
+    block = '<div class="businessInfo"><a href="{}">x</a></div>'
+    hrefs = {"agence/1": None, "https://o.test/1": "https://o.test/1", "//c.test/1": "https://c.test/1"}
+    df = pages(spark, *((i, "u", block.format(href)) for i, href in enumerate(hrefs)))
+    got = page_records.records_m(df, "louer").orderBy("page_id").collect()
+    assert [r.agency_url for r in got] == list(hrefs.values())
+
+
 def test_empty_page_gives_nothing_but_the_address(spark):
     df = pages(spark, (1, "https://e.test/x_1.htm", "<p>rien</p>"))
     row = page_records.records_a(df, "louer", F.lit(SEEN)).first().asDict()
