@@ -32,7 +32,10 @@ def unified(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
 
     def column(field: T.StructField) -> Column | str:
         if field.name in columns:
-            return columns[field.name].alias(field.name)
+            made = columns[field.name]
+            # Lists differ in whether they may hold NULLs; all else has its type already.
+            listed = isinstance(field.dataType, T.ArrayType)
+            return (made.cast(field.dataType) if listed else made).alias(field.name)
         if field.name in there:
             return field.name
         return nothing[field.dataType].alias(field.name)
