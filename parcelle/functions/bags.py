@@ -12,8 +12,8 @@ from parcelle.functions.text import column_name, label_to_column, literal_map
 from parcelle.schemas import TEXT_LIST, TEXT_MAP
 
 
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once per row."""
+def computed_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often it is used."""
     return F.transform(F.array(value), use)[0]
 
 
@@ -47,8 +47,9 @@ def equipment_list(text: Column) -> Column:
             & ~word.isin(*V.EQUIPMENT_BARRED_WORDS)
         )
 
-    named = F.filter(split_list(text, ";"), is_equipment)
-    return F.coalesce(F.array_distinct(named), F.array().cast(TEXT_LIST))
+    items = F.transform(F.split(text, r"\s*;\s*"), F.trim)
+    named = F.array_distinct(F.filter(items, is_equipment))
+    return F.coalesce(named, F.array().cast(TEXT_LIST))
 
 
 def attribute_map(text: Column) -> Column:
@@ -79,7 +80,7 @@ def named_attributes(bag: Column) -> Column:
             lambda row, at: (row["name"] != "") & (F.array_position(names, row["name"]) == at + 1),
         ))
 
-    return _with(entries, first_of_each)
+    return computed_once(entries, first_of_each)
 
 
 def list_to_text(items: Column, separator: str) -> Column:

@@ -6,26 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from parcelle import fixed_values as V
+from parcelle.functions.bags import computed_once
 
 
 def breadcrumb_place(breadcrumbs: Column) -> Column:
     """struct(city, neighborhood): the two steps that follow the anchor of the trail."""
+    def after_anchor(trail: Column) -> Column:
+        anchor = F.array_position(trail, V.BREADCRUMB_ANCHOR).cast("int")
+        return F.when(anchor > 0, F.slice(trail, anchor + 1, F.lit(2)))
+
+    def named(steps: Column) -> Column:
+        area = F.trim(F.get(steps, F.lit(1)))
+        kept = F.when(~area.isin(*V.NEIGHBORHOOD_PLACEHOLDERS), area)
+        return F.struct(F.trim(F.get(steps, F.lit(0))).alias("city"), kept.alias("neighborhood"))
+
     trail = F.split(breadcrumbs, V.BREADCRUMB_SEPARATOR)
-    anchor = F.array_position(trail, V.BREADCRUMB_ANCHOR).cast("int")
-    # array_position counts from 1 and get from 0, so the anchor's own position
-    # is the index of the step after it.
-    city = F.when(anchor > 0, F.trim(F.get(trail, anchor)))
-    area = F.when(anchor > 0, F.trim(F.get(trail, anchor + 1)))
-    named = F.when(~area.isin(*V.NEIGHBORHOOD_PLACEHOLDERS), area)
-    return F.struct(city.alias("city"), named.alias("neighborhood"))
+    return computed_once(computed_once(trail, after_anchor), named)
 
 
 def paired_place(text: Column) -> Column:
     """struct(city, neighborhood) of 'neighborhood à city'; a lone name is both."""
-    parts = F.split(text, V.PLACE_SEPARATOR)
-    area = F.trim(F.get(parts, F.lit(0)))
-    city = F.coalesce(F.trim(F.get(parts, F.lit(1))), area)
-    return F.struct(city.alias("city"), area.alias("neighborhood"))
+    def named(parts: Column) -> Column:
+        area = F.trim(F.get(parts, F.lit(0)))
+        city = F.coalesce(F.trim(F.get(parts, F.lit(1))), area)
+        return F.struct(city.alias("city"), area.alias("neighborhood"))
+
+    return computed_once(F.split(text, V.PLACE_SEPARATOR), named)
 
 
 def category_parts(category: Column) -> Column:

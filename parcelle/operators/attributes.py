@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from parcelle.functions.bags import named_attributes
+from parcelle.functions.bags import attribute_map, named_attributes
 from parcelle.functions.text import column_name, label_to_column
 
 # A table wider than this is a mistake in the data, not a table.
@@ -24,9 +25,28 @@ def sanitized_keys(keys: DataFrame) -> DataFrame:
     return keys.select("k", column_name(F.col("k")).alias("name"))
 
 
-def attribute_columns(names: Mapping[str, str] | Sequence[str], attributes: Column) -> list[Column]:
-    """One column per label out of a bag made by :func:`named_attributes`."""
-    return [attributes[label_to_column(label)].alias(label_to_column(label)) for label in names]
+def labelled_attributes(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:
+    """Adds one trimmed column per label out of a JSON object of attributes.
+
+    Almost every object has no labels but the given ones, spelled as given. These are
+    read straight into fields. Objects with any other label are read into a map, whose
+    labels are turned into names, since another spelling may stand for the same column;
+    so are texts that are no object. Both ways give the same for objects of the first kind.
+    """
+    text = F.col(column)
+    fields = T.StructType([T.StructField(label, T.StringType()) for label in labels])
+    others = F.array_except(F.json_object_keys(text), F.split(F.lit("\n".join(labels)), "\n"))
+    read = df.withColumns({
+        "_fields": F.from_json(text, fields),
+        "_unusual": F.coalesce(F.size(others) > 0, text.isNotNull()),
+    })
+    unusual = F.col("_unusual")
+    named = read.withColumn("_named", F.when(unusual, named_attributes(attribute_map(text))))
+    return named.withColumns({
+        label_to_column(label): F.when(unusual, F.col("_named")[label_to_column(label)])
+        .otherwise(F.trim(F.col("_fields")[label]))
+        for label in labels
+    }).drop("_fields", "_unusual", "_named")
 
 
 def open_attributes(df: DataFrame, bag: Column, keep: Sequence[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from parcelle import fixed_values as V
 from parcelle.functions import bags, places, text
-from parcelle.operators.attributes import attribute_columns
+from parcelle.operators.attributes import labelled_attributes
 from parcelle.operators.payloads import key_by_document, parse_payload
 from parcelle.operators.versions import fresh_window, latest_per_key
 from parcelle.schemas import PAYLOAD_A, PAYLOAD_M, SILVER
@@ -66,8 +66,8 @@ def silver_a(
     listings = latest_documents(raw, PAYLOAD_A, minutes, as_of).withColumns({
         "_place": places.breadcrumb_place(c("breadcrumbs")),
         "_category": places.category_parts(c("category")),
-        "_attributes": bags.named_attributes(bags.attribute_map(c("attributes"))),
     })
+    listings = labelled_attributes(listings, "attributes", V.LABELS_A)
     columns = {
         "site": F.lit(V.SITE_A),
         "offre": c("listing_type"),
@@ -81,7 +81,7 @@ def silver_a(
         "description_text": c("description"),
         "offre_match": places.offer_matches(c("_category.phrase"), c("listing_type")),
     }
-    return unified(listings, columns | _labelled(V.LABELS_A))
+    return unified(listings, columns)
 
 
 def silver_m(
@@ -89,12 +89,11 @@ def silver_m(
 ) -> DataFrame:
     """Source M in unified form."""
     c = F.col
-    listings = latest_documents(raw, PAYLOAD_M, minutes, as_of).withColumn(
-        "_bag", bags.attribute_map(c("features_main_json"))
-    ).withColumns({
+    listings = latest_documents(raw, PAYLOAD_M, minutes, as_of).withColumns({
         "_place": places.paired_place(c("location_text")),
-        "_attributes": bags.named_attributes(c("_bag")),
+        "_bag": bags.attribute_map(c("features_main_json")),
     })
+    listings = labelled_attributes(listings, "features_main_json", V.LABELS_M)
     columns = {
         "site": F.lit(V.SITE_M),
         "offre": c("listing_type"),
@@ -105,7 +104,7 @@ def silver_m(
         "property_type": c("_bag")[V.PROPERTY_TYPE_LABEL],
         "images": bags.json_list(c("gallery_urls")),
     }
-    return unified(listings, columns | _labelled(V.LABELS_M))
+    return unified(listings, columns)
 
 
 SILVER_PLANS: Mapping[str, Callable[..., DataFrame]] = {
@@ -131,8 +130,3 @@ def latest_listings(silver: DataFrame) -> DataFrame:
     apart, so it may hold a version several times.
     """
     return latest_per_key(silver, ("site", "id"), ties=("url", "title"))
-
-
-def _labelled(labels: tuple[str, ...]) -> dict[str, Column]:
-    made = attribute_columns(labels, F.col("_attributes"))
-    return {text.label_to_column(label): column for label, column in zip(labels, made)}

@@ -370,8 +370,8 @@ def sanitize_keys(spark, sf_dir):
     f"{SILVER_A_COLUMNS[text.label_to_column(label)]} AS {text.label_to_column(label)}"
     for label in V.LABELS_A) + " FROM listing_a")
 def attr_columns(spark, sf_dir):
-    named = _bags_a(spark, sf_dir).withColumn("named", bags.named_attributes(c("bag")))
-    return named.select("title", *attributes.attribute_columns(V.LABELS_A, c("named")))
+    texts = _a(spark, sf_dir, "title", "attributes")
+    return attributes.labelled_attributes(texts, "attributes", V.LABELS_A).drop("attributes", "ingest_ts")
 
 
 @query(_with("listing_a") + "SELECT title, " + ", ".join(

@@ -179,6 +179,26 @@ def test_open_attributes(spark):
     assert sorted(map(tuple, got.collect())) == [("1", "3", None), ("2", None, "oui"), ("3", None, None)]
 
 
+def test_labels_read_as_fields_or_through_a_map_agree(spark):
+    labels = ["Étage", "Salons", "Type d'appartement"]
+    texts = [
+        '{"Étage":" 3 ","Salons":"1"}', '{"Étage":"3","ETAGE":"1"}', '{"étage":"2","Salons":null}',
+        '{"Étage":{"a":1},"Salons":[1,"x"]}', '{"Salons":7,"Étage":true}', "{}", None, "", "nonsense", "[1]",
+        '[{"Étage":"3"}]', '{"Étage":"3"', '{"Étage":"3"} more', '"Étage"', '{"type_d_appartement":"T2"}',
+        '{"Type d\'appartement":"T3","Autre":"x"}', "null", ' {"Étage":"4"}', '{"":"x","Étage":"5"}',
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "a string")
+    names = ["etage", "salons", "type_d_appartement"]
+    direct = attributes.labelled_attributes(df, "a", labels).select("a", *names)
+    through_map = df.withColumn("m", bags.named_attributes(bags.attribute_map(F.col("a")))).select(
+        "a", *(F.col("m")[n].alias(n) for n in names))
+    assert sorted(map(tuple, direct.collect()), key=str) == sorted(map(tuple, through_map.collect()), key=str)
+    got = {r.a: tuple(r)[1:] for r in direct.collect()}
+    assert got['{"Étage":"3","ETAGE":"1"}'] == ("1", None, None)
+    assert got['{"étage":"2","Salons":null}'] == ("2", None, None)
+    assert got['[{"Étage":"3"}]'] == (None, None, None)
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "id string")
     assert [tuple(r) for r in profiling.value_counts(df, "id").collect()] == [("b", 2), (None, 1), ("a", 1)]
