@@ -123,8 +123,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def derived(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFrame:
     """The rows of an input text over one given table."""
-    table(spark, sf_dir, source).createOrReplaceTempView(source)
-    return spark.sql(text)
+    return over(table(spark, sf_dir, source), text, source)
+
+
+def over(df: DataFrame, text: str, name: str) -> DataFrame:
+    """The rows of an SQL text that reads ``df`` under a name; leaves no view behind."""
+    literal = text.replace("{", "{{").replace("}", "}}")
+    named = literal.replace(f"FROM {name}", "FROM {source}")
+    return df.sparkSession.sql(named, source=df)
 
 
 def listing_a(spark: SparkSession, sf_dir: str) -> DataFrame:

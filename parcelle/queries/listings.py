@@ -506,8 +506,8 @@ SELECT id, regexp_replace(title, '[\r\n\t]+', ' ', 'g') AS title,
  regexp_replace(description, '[\r\n\t]+', ' ', 'g') AS description, ingest_ts
 FROM broken ORDER BY ingest_ts, id LIMIT 10""")
 def preview_clean(spark, sf_dir):
-    I.listing_a(spark, sf_dir).createOrReplaceTempView("listing_a")
-    return profiling.preview(spark.sql(I.BROKEN_LINES), 10, "ingest_ts", "id")
+    broken = I.over(I.listing_a(spark, sf_dir), I.BROKEN_LINES, "listing_a")
+    return profiling.preview(broken, 10, "ingest_ts", "id")
 
 
 # --- unified table -----------------------------------------------------------
