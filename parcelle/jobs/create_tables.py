@@ -1,6 +1,6 @@
 """Create the raw tables of some sources and the unified table.
 
-    spark-submit -m parcelle.jobs.create_tables --sources <site> ... --silver
+    python -m parcelle.jobs.create_tables --sources <site> ... --silver
 """
 
 from __future__ import annotations
