@@ -7,6 +7,7 @@ import pytest
 
 from parcelle.functions import bags
 from parcelle.operators import attributes
+from parcelle.operators.versions import latest_per_key
 from parcelle.plans import silver
 from parcelle.queries import QUERIES
 from parcelle.queries import inputs
@@ -36,6 +37,29 @@ def test_silver_is_one_shuffle(spark, raw):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "MapInPandas" not in plan
 
 
+def shuffled_rows(plan):
+    """Rows written to shuffles below a plan that has run."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_rows(plan.executedPlan())
+    if kind == "ShuffleQueryStageExec":
+        return plan.shuffle().metrics().apply("shuffleRecordsWritten").value()
+    if kind == "ResultQueryStageExec":
+        return shuffled_rows(plan.plan())
+    children = plan.children()
+    return sum(shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_a_hot_key_is_one_row_per_map_task(spark):
+    rows = spark.range(0, 30_000, numPartitions=6).selectExpr(
+        "if(id % 3 <> 0, 'hot', cast(id as string)) as id", "cast(id as string) as payload",
+        "timestamp_seconds(id) as ingest_ts",
+    )
+    newest = latest_per_key(rows)
+    assert len(newest.collect()) == 10_001
+    assert shuffled_rows(newest._jdf.queryExecution().executedPlan()) == 10_000 + 6
+
+
 def test_full_parse_comes_after_the_cut(spark, raw):
     plan = plan_of(silver.silver_a(tables.scan_files(spark, raw)))
     above, below = plan.split("Window [", 1)
