@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from parcelle.llm import quality
+from parcelle.llm import licences, main_text, pii, quality, secrets
 
 QUERIES = {
+    "op2_main_text": main_text.op2_main_text,
+    "op3_personal_data": pii.op3_personal_data,
+    "op7_licence_scan": licences.op7_licence_scan,
+    "op8_secret_scan": secrets.op8_secret_scan,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 
