@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from parcelle.llm import licences, main_text, pii, quality, secrets
+from parcelle.llm import chat, decontaminate, licences, main_text, packing, pii, quality, secrets
 
 QUERIES = {
     "op2_main_text": main_text.op2_main_text,
     "op3_personal_data": pii.op3_personal_data,
+    "op4_chat_repair": chat.op4_chat_repair,
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op7_licence_scan": licences.op7_licence_scan,
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 
 CHECKS: dict[str, str] = {}
