@@ -26,13 +26,18 @@ def cut(df: DataFrame) -> DataFrame:
 
     Only a session without that setting, as in tests, gets a folder of its own.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(folder)
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for what jobs hand on to each other."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
 def small(df: DataFrame, most_rows: int = 20_000) -> DataFrame:
     """A hint to broadcast a table that was counted and found small; else the table as it is."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

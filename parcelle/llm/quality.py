@@ -211,5 +211,11 @@ def quality_rules(
     return far.select(F.col("key").alias(key), *COUNTS, "base_failed", kept.alias("kept"), "distance")
 
 
+def without_outliers(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_rules` keeps, with all their columns; rows with one key go together."""
+    gone = quality_rules(docs, key, **options).where("NOT kept").select(F.col(key).alias("_gone")).distinct()
+    return docs.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+
+
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
