@@ -159,3 +159,10 @@ PRODUCER_OPTIONS = {
     "kafka.compression.type": "lz4",
     "kafka.linger.ms": "20",
 }
+
+# --- tables ------------------------------------------------------------------
+
+APPEND = "append"
+OVERWRITE_MODES = ("overwrite", "dynamic_overwrite", "dynamic-overwrite")
+ICEBERG_TABLE = {"format-version": "2", "write.distribution-mode": "none"}
+ICEBERG_WRITE = {"check-nullability": "false", "check-ordering": "false"}

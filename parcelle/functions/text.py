@@ -68,17 +68,35 @@ def id_from_url(url: Column, pattern: str) -> Column:
 
 
 def absolute_url(href: Column, base: Column | str) -> Column:
-    """``href`` as seen from the root page of ``base``."""
+    """``href`` as seen from the root page of ``base``; steps such as ``./`` and ``../`` are taken."""
     root = F.lit(base) if isinstance(base, str) else base
     scheme = F.regexp_extract(root, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+    path = F.regexp_extract(href, "^[^?#]*", 0)
+    rest = F.substring(href, F.length(path) + 1, F.length(href))
+    rooted = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+    walked = F.when(rooted.rlike(r"/\.{1,2}(/|$)"), _walked(rooted)).otherwise(rooted)
     return (
         F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.rlike("^[/?#]") | (href == ""), F.concat(root, href))
-        .otherwise(F.concat(root, F.lit("/"), href))
+        .when(path == "", F.concat(root, href))
+        .otherwise(F.concat(root, walked, rest))
     )
 
 
+def _walked(path: Column) -> Column:
+    """A path from the root with its ``.`` and ``..`` steps taken; steps above the root stay there."""
+    steps = F.split(path, "/", -1)
+
+    def take(done: Column, step: Column) -> Column:
+        back = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(step == "..", back).when(step == ".", done).otherwise(F.concat(done, F.array(step)))
+
+    start = F.slice(steps, 1, 1)
+    walked = F.aggregate(F.slice(steps, F.lit(2), F.size(steps)), start, take)
+    ends_open = F.element_at(steps, -1).isin(".", "..")
+    return F.concat(F.array_join(walked, "/"), F.when(ends_open, "/").otherwise(""))
+
+
 def ascii_fold(text: Column) -> Column:
     """Compatibility decomposition with everything outside ASCII dropped.
 

@@ -1,4 +1,4 @@
-"""Append the fresh listings of one source to the unified table."""
+"""Add the fresh listings of one source to the unified table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from parcelle import fixed_values as V
 from parcelle.jobs import common
 from parcelle.plans.silver import SILVER_PLANS
-from parcelle.session import size_shuffles
+from parcelle.session import sized_shuffles
 from parcelle.sources import tables
 
 
@@ -16,7 +16,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--source", choices=V.SITES, required=True)
     args.add_argument("--raw-files", help="folder of raw envelopes to read instead of the table")
     args.add_argument("--window-mins", type=int, default=V.WINDOW_MINUTES, help="0 for all rows")
-    args.add_argument("--mode", default=tables.APPEND)
+    args.add_argument(
+        "--mode", choices=(tables.APPEND, tables.MERGE), default=tables.APPEND,
+        help="merge leaves out versions that are there already",
+    )
     args.add_argument("--rebalance", action="store_true", help="even file sizes, for backfills")
     given = args.parse_args(argv)
     spark = common.session(given, f"{given.source}-build-silver")
@@ -24,11 +27,11 @@ def main(argv: Sequence[str] | None = None) -> None:
         raw = tables.scan_files(spark, given.raw_files, minutes=given.window_mins)
     else:
         raw = tables.scan(spark, common.raw_table(given, given.source), given.window_mins)
-    size_shuffles(raw)
-    tables.write_silver(
-        SILVER_PLANS[given.source](raw),
-        common.silver_table(given), given.mode, given.provider, given.rebalance,
-    )
+    with sized_shuffles(raw):
+        tables.write_silver(
+            SILVER_PLANS[given.source](raw),
+            common.silver_table(given), given.mode, given.provider, given.rebalance,
+        )
 
 
 if __name__ == "__main__":

@@ -1,22 +1,37 @@
-"""Turn a table of listing pages into records: to a topic, or to CSV files."""
+"""Turn a table of pages into listing links, or into records for a topic or CSV files."""
 
 from __future__ import annotations
 
+import argparse
 from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelle import fixed_values as V
 from parcelle.jobs import common
+from parcelle.operators.pages import first_links
 from parcelle.plans import page_records
 from parcelle.sources import files, kafka
 
 
+def write_links(pages: DataFrame, given: argparse.Namespace) -> None:
+    """Listing links of result pages, each where it is met first, as CSV files."""
+    if given.source == V.SITE_A:
+        links = page_records.listing_links_a(pages, given.per_page)
+    else:
+        links = page_records.listing_links_m(pages, given.per_page or V.LINKS_PER_PAGE_M)
+    files.write_csv(first_links(links, given.limit).select("page_id", "pos", "link"), given.out)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = common.parser(__doc__)
     args.add_argument("--source", choices=V.SITES, required=True)
     args.add_argument("--pages", required=True, help="Parquet folder of (page_id, url, html)")
     args.add_argument("--mode", choices=("louer", "vendre", "acheter"), default="louer")
+    args.add_argument("--what", choices=("records", "links"), default="records")
+    args.add_argument("--limit", type=int, help="links in all, in crawl order")
+    args.add_argument("--per-page", type=int, help="links of a page; 25 for source M as its crawler has it")
     args.add_argument("--sink", choices=("kafka", "csv"), default="kafka")
     args.add_argument("--out", help="folder for CSV files")
     args.add_argument("--bootstrap", default="kafka:9092")
@@ -24,6 +39,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     given = args.parse_args(argv)
     spark = common.session(given, f"{given.source}-read-pages")
     pages = spark.read.parquet(given.pages)
+    if given.what == "links":
+        write_links(pages, given)
+        return
     if given.source == V.SITE_A:
         records = page_records.records_a(pages, given.mode, F.current_timestamp())
     else:

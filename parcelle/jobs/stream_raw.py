@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from parcelle import fixed_values as V
 from parcelle.jobs import common
-from parcelle.sources import kafka
+from parcelle.sources import kafka, tables
 from parcelle.streaming import raw_sink
 
 
@@ -16,7 +16,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--bootstrap", default="kafka:9092")
     args.add_argument("--topic", help="the source's own if not given")
     args.add_argument("--records", help="folder of record files to read instead of a topic")
-    args.add_argument("--target", help="table, or folder for parquet; the source's own if not given")
+    args.add_argument("--target", help="table, or for parquet a path; the source's own table if not given")
     args.add_argument("--checkpoint", help="below spark.checkpoint.dir if not given")
     args.add_argument("--starting-offsets", choices=(kafka.EARLIEST, kafka.LATEST), default=kafka.LATEST)
     args.add_argument("--trigger", default=V.TRIGGER)
@@ -31,6 +31,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         records = kafka.record_stream(
             spark, given.bootstrap, topic, given.starting_offsets, given.records_per_trigger
         )
+    if not given.target:
+        tables.create_raw_tables(spark, [given.source], given.catalog, given.provider)
     raw_sink.start_raw_sink(
         records,
         given.target or common.raw_table(given, given.source),

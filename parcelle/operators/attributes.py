@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +11,6 @@ from pyspark.sql import types as T
 from parcelle.functions.bags import attribute_map, named_attributes
 from parcelle.functions.text import column_name, label_to_column
 
-# A table wider than this is a mistake in the data, not a table.
-MAX_OPEN_COLUMNS = 2000
-
-
 def distinct_keys(df: DataFrame, bag: Column) -> DataFrame:
     """Every raw label that occurs in a bag, once."""
     return df.select(F.explode(F.map_keys(bag)).alias("k")).distinct()
@@ -25,9 +21,13 @@ def sanitized_keys(keys: DataFrame) -> DataFrame:
     return keys.select("k", column_name(F.col("k")).alias("name"))
 
 
-def labelled_attributes(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:
+def labelled_attributes(
+    df: DataFrame, column: str, labels: Sequence[str], raw: Mapping[str, str] | None = None
+) -> DataFrame:
     """Adds one trimmed column per label out of a JSON object of attributes.
 
+    ``raw`` names columns for values as they are, of exactly these labels.
+
     Almost every object has no labels but the given ones, spelled as given. These are
     read straight into fields. Objects with any other label are read into a map, whose
     labels are turned into names, since another spelling may stand for the same column;
@@ -41,30 +41,31 @@ def labelled_attributes(df: DataFrame, column: str, labels: Sequence[str]) -> Da
         "_unusual": F.coalesce(F.size(others) > 0, text.isNotNull()),
     })
     unusual = F.col("_unusual")
-    named = read.withColumn("_named", F.when(unusual, named_attributes(attribute_map(text))))
+    mapped = read.withColumn("_map", F.when(unusual, attribute_map(text)))
+    named = mapped.withColumn("_named", named_attributes(F.col("_map")))
     return named.withColumns({
         label_to_column(label): F.when(unusual, F.col("_named")[label_to_column(label)])
         .otherwise(F.trim(F.col("_fields")[label]))
         for label in labels
-    }).drop("_fields", "_unusual", "_named")
+    }).withColumns({
+        name: F.when(unusual, F.col("_map")[label]).otherwise(F.col("_fields")[label])
+        for name, label in (raw or {}).items()
+    }).drop("_fields", "_unusual", "_map", "_named")
 
 
-def open_attributes(df: DataFrame, bag: Column, keep: Sequence[str]) -> DataFrame:
-    """One column for every label that occurs, next to the ``keep`` columns.
+def pivoted_attributes(df: DataFrame, bag: Column, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """One column for each of the attribute ``names``, next to the ``keep`` columns.
 
-    The labels are found in a first pass that shuffles no more than one row per
-    label and task; the second pass only projects, so no row is shuffled. Names
-    already in ``keep`` are not overwritten.
+    Names already in ``keep`` are not overwritten. One projection, without a pass to
+    find names; :func:`attribute_rows` holds whatever names there are.
     """
-    found = (
-        sanitized_keys(distinct_keys(df, bag))
-        .filter((F.col("name") != "") & ~F.col("name").isin(*keep))
-        .select("name").distinct()
-        .limit(MAX_OPEN_COLUMNS + 1)
-        .collect()
-    )
-    if len(found) > MAX_OPEN_COLUMNS:
-        raise ValueError(f"more than {MAX_OPEN_COLUMNS} attribute columns")
-    names = sorted(row["name"] for row in found)
     named = df.select(*keep, named_attributes(bag).alias("_named"))
-    return named.select(*keep, *(F.col("_named")[name].alias(name) for name in names))
+    return named.select(*keep, *(F.col("_named")[name].alias(name) for name in names if name not in keep))
+
+
+def attribute_rows(df: DataFrame, bag: Column, keep: Sequence[str]) -> DataFrame:
+    """A row for each attribute of each row: the ``keep`` columns, ``name`` and ``value``.
+
+    The open form of :func:`pivoted_attributes`: any number of names, and no shuffle.
+    """
+    return df.select(*keep, F.explode(named_attributes(bag)).alias("name", "value"))

@@ -24,7 +24,7 @@ def listing_links_a(pages: DataFrame, limit: int | None = None) -> DataFrame:
     return positions(found, F.array_distinct(links), limit)
 
 
-def listing_links_m(pages: DataFrame, limit: int = V.LINKS_PER_PAGE_M) -> DataFrame:
+def listing_links_m(pages: DataFrame, limit: int | None = None) -> DataFrame:
     """(page_id, pos, link) of the listings on result pages of source M."""
     found = extract(pages, _link_rules(V.LINK_SELECTORS_M), keep=["page_id"])
     boxes, titles, others = map(_or_empty, _tiers(V.LINK_SELECTORS_M))
@@ -68,6 +68,11 @@ def records_a(
         },
         keep=["page_id", "url", "_mode", "_seen_at"],
     )
+    # A date out of the calendar makes a page unreadable, like any other problem on it.
+    unreadable = dates.date_problem(F.col("published"), F.col("_seen_at"))
+    made = [name for name in fields.columns if name not in ("page_id", "url", "_mode", "_seen_at", "error")]
+    fields = fields.withColumn("error", F.coalesce("error", unreadable))
+    fields = fields.withColumns({name: F.when(F.col("error").isNull(), F.col(name)) for name in made})
     return fields.select("page_id", *_in_order(PAYLOAD_A.names, {
         "id": text.id_from_url(F.col("url"), id_pattern),
         "breadcrumbs": bags.list_to_text(F.col("trail"), V.BREADCRUMB_SEPARATOR),

@@ -8,7 +8,7 @@ the rows that are left, and one projection driven by the target schema.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +22,22 @@ from parcelle.operators.versions import fresh_window, latest_per_key
 from parcelle.schemas import PAYLOAD_A, PAYLOAD_M, SILVER
 
 
-def unified(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """The unified columns in order.
+#: Payload fields that a unified column is made of, where it is not the field of its own name.
+_MADE_OF_A = {
+    "offre": ("listing_type",), "price": ("price_text",), "seller": ("seller_name",), "city": ("breadcrumbs",),
+    "neighborhood": ("breadcrumbs",), "property_type": ("category",), "images": ("image_urls",),
+    "description_text": ("description",), "offre_match": ("category", "listing_type"),
+    **{text.label_to_column(label): ("attributes",) for label in V.LABELS_A},
+}
+_MADE_OF_M = {
+    "offre": ("listing_type",), "seller": ("agency_name",), "city": ("location_text",),
+    "neighborhood": ("location_text",), "property_type": ("features_main_json",), "images": ("gallery_urls",),
+    **{text.label_to_column(label): ("features_main_json",) for label in V.LABELS_M},
+}
+
+
+def unified(df: DataFrame, columns: Mapping[str, Column], wanted: Sequence[str] | None = None) -> DataFrame:
+    """The unified columns in order, or of them the wanted ones.
 
     Each is the given expression, else the column of that name, else a NULL of its type.
     """
@@ -40,7 +54,15 @@ def unified(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
             return field.name
         return nothing[field.dataType].alias(field.name)
 
-    return df.select(*map(column, SILVER.fields))
+    return df.select(*(column(f) for f in SILVER.fields if wanted is None or f.name in wanted))
+
+
+def fields_for(schema: T.StructType, made_of: Mapping[str, Sequence[str]], wanted: Sequence[str] | None) -> list[str] | None:
+    """Payload fields that the wanted unified columns need; None for all."""
+    if wanted is None:
+        return None
+    needed = {name for column in wanted for name in made_of.get(column, (column,))}
+    return [name for name in schema.names if name in needed]
 
 
 def latest_documents(
@@ -48,27 +70,31 @@ def latest_documents(
     schema: T.StructType,
     minutes: int = 0,
     as_of: dt.datetime | Column | None = None,
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The newest document of each listing, parsed, with an address.
+    """The newest document of each listing, parsed as far as ``fields`` go, with an address.
 
     The address is looked at last: a listing whose newest version has none is gone,
     whatever its older versions had.
     """
     keyed = key_by_document(fresh_window(raw, minutes, as_of), schema)
-    return parse_payload(latest_per_key(keyed).filter("addressed"), schema)
+    return parse_payload(latest_per_key(keyed).filter("addressed"), schema, fields)
 
 
 def silver_a(
-    raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None
+    raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Source A in unified form."""
+    """Source A in unified form; with ``columns`` no more is read of a document than these need."""
     c = F.col
-    listings = latest_documents(raw, PAYLOAD_A, minutes, as_of).withColumns({
-        "_place": places.breadcrumb_place(c("breadcrumbs")),
-        "_category": places.category_parts(c("category")),
-    })
-    listings = labelled_attributes(listings, "attributes", V.LABELS_A)
-    columns = {
+    listings = latest_documents(raw, PAYLOAD_A, minutes, as_of, fields_for(PAYLOAD_A, _MADE_OF_A, columns))
+    there = set(listings.columns)
+    if "breadcrumbs" in there:
+        listings = listings.withColumn("_place", places.breadcrumb_place(c("breadcrumbs")))
+    if "category" in there:
+        listings = listings.withColumn("_category", places.category_parts(c("category")))
+    if "attributes" in there:
+        listings = labelled_attributes(listings, "attributes", V.LABELS_A)
+    made = {
         "site": F.lit(V.SITE_A),
         "offre": c("listing_type"),
         "price": text.price_from_text(c("price_text")),
@@ -81,30 +107,31 @@ def silver_a(
         "description_text": c("description"),
         "offre_match": places.offer_matches(c("_category.phrase"), c("listing_type")),
     }
-    return unified(listings, columns)
+    return unified(listings, made, columns)
 
 
 def silver_m(
-    raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None
+    raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Source M in unified form."""
+    """Source M in unified form; with ``columns`` no more is read of a document than these need."""
     c = F.col
-    listings = latest_documents(raw, PAYLOAD_M, minutes, as_of).withColumns({
-        "_place": places.paired_place(c("location_text")),
-        "_bag": bags.attribute_map(c("features_main_json")),
-    })
-    listings = labelled_attributes(listings, "features_main_json", V.LABELS_M)
-    columns = {
+    listings = latest_documents(raw, PAYLOAD_M, minutes, as_of, fields_for(PAYLOAD_M, _MADE_OF_M, columns))
+    there = set(listings.columns)
+    if "location_text" in there:
+        listings = listings.withColumn("_place", places.paired_place(c("location_text")))
+    if "features_main_json" in there:
+        listings = labelled_attributes(listings, "features_main_json", V.LABELS_M, {"_type": V.PROPERTY_TYPE_LABEL})
+    made = {
         "site": F.lit(V.SITE_M),
         "offre": c("listing_type"),
         "price": text.positive_price(c("price")),
         "seller": text.seller_name(c("agency_name"), V.SELLER_PLACEHOLDERS_M),
         "city": c("_place.city"),
         "neighborhood": c("_place.neighborhood"),
-        "property_type": c("_bag")[V.PROPERTY_TYPE_LABEL],
+        "property_type": c("_type"),
         "images": bags.json_list(c("gallery_urls")),
     }
-    return unified(listings, columns)
+    return unified(listings, made, columns)
 
 
 SILVER_PLANS: Mapping[str, Callable[..., DataFrame]] = {
@@ -118,9 +145,10 @@ def silver_all(
     raw_m: DataFrame,
     minutes: int = 0,
     as_of: dt.datetime | Column | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Both sources in one table."""
-    return silver_a(raw_a, minutes, as_of).unionByName(silver_m(raw_m, minutes, as_of))
+    return silver_a(raw_a, minutes, as_of, columns).unionByName(silver_m(raw_m, minutes, as_of, columns))
 
 
 def latest_listings(silver: DataFrame) -> DataFrame:

@@ -10,16 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.sources.files import spread
-
-# The seconds added to the date tell versions of one id apart.
+# The seconds added to the date tell versions of one id apart, but for some rows that are there
+# again with a longer title. Some ids occur once, and every label and spelling somewhere.
 LISTING_A = """
 SELECT
- CAST(o_orderkey % 4000 AS VARCHAR(20)) AS id,
+ CASE WHEN o_orderkey % 5 = 0 THEN concat('u', CAST(o_orderkey AS VARCHAR(20))) ELSE CAST(o_orderkey % 4000 AS VARCHAR(20)) END AS id,
  CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN '  '
       ELSE concat('https://example.test/fr/x_', CAST(o_orderkey % 4000 AS VARCHAR(20)), '.htm') END AS url,
- CAST(NULL AS VARCHAR(20)) AS error,
- concat('Annonce ', CAST(o_orderkey AS VARCHAR(20))) AS title,
+ CASE o_orderkey % 29 WHEN 0 THEN 'page has no text' END AS error,
+ concat('Annonce ', CAST(o_orderkey AS VARCHAR(20)), again) AS title,
  CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'Prix sur demande'
       ELSE concat(CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR(20)), ' ',
                   lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS VARCHAR(20)), 3, '0'), ' DH') END AS price_text,
@@ -28,37 +27,43 @@ SELECT
       ELSE 'Accueil > Tout le Maroc > Casa > Agdal > Appartements' END AS breadcrumbs,
  CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Appartements , à louer' WHEN 2 THEN 'Villas,à vendre' ELSE 'Terrains' END AS category,
  concat('Texte ', o_orderpriority) AS description,
- CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '{"Surface habitable":" 90 m2 ","Étage":"3"}'
-      ELSE '{"Chambres":"2","Âge du bien":"1-5 ans"}' END AS attributes,
+ CASE o_orderkey % 8 WHEN 0 THEN NULL WHEN 1 THEN '{"Surface habitable":" 90 m2 ","Étage":"3"}'
+      WHEN 2 THEN '{"chambres":"7","Salons":"1"}' WHEN 3 THEN '{"chambres":"7","Chambres":"4"}'
+      WHEN 4 THEN 'no object' WHEN 5 THEN '{"Caution":"2 mois","Zoning":"R+4","Type d''appartement":"T3","Standing":" haut",
+        "Surface totale":"120","Nombre de pièces":"5","Salle de bain":"2","Frais de syndic / mois":"300","Condition":"bon",
+        "Nombre d''étage":"4","Disponibilité":"oui","Salons":"2"}'
+      WHEN 6 THEN '{}' ELSE '{"Chambres":"2","Âge du bien":"1-5 ans"}' END AS attributes,
  CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'Ascenseurs; Balcon ; 2 ; 1 mois; Studio; Balcon' ELSE 'Parking;sauna ;; Jardin' END AS equipments,
  CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN ' None '
       ELSE concat(' Agence ', CAST(o_custkey % 20 AS VARCHAR(20)), ' ') END AS seller_name,
  CASE o_orderkey % 2 WHEN 0 THEN 'Boutique' ELSE 'Particulier' END AS seller_type,
  '2025-11-02 10:00:00' AS published_date,
  CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'a | b|c' ELSE ' | z | ' END AS image_urls,
- CASE o_orderkey % 2 WHEN 0 THEN 'location' ELSE 'vente' END AS listing_type,
+ CASE WHEN o_orderkey % 6 < 3 THEN 'location' ELSE 'vente' END AS listing_type,
  o_orderdate + CAST(o_orderkey % 2000000000 AS INT) * INTERVAL '1' SECOND AS ingest_ts
-FROM orders
+FROM (SELECT *, '' AS again FROM orders UNION ALL SELECT *, ' b' AS again FROM orders WHERE o_orderkey % 31 = 0) AS versions
 """
 
 LISTING_M = """
 SELECT
- concat('m', CAST(o_orderkey % 3000 AS VARCHAR(20))) AS id,
+ concat('m', CAST(CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey ELSE o_orderkey % 3000 END AS VARCHAR(20))) AS id,
  CASE WHEN o_orderkey % 23 = 0 THEN NULL
       ELSE concat('https://example.test/fr/a/', CAST(o_orderkey % 3000 AS VARCHAR(20)), '/x') END AS url,
- CAST(NULL AS VARCHAR(20)) AS error,
+ CASE o_orderkey % 37 WHEN 0 THEN 'page has no text' END AS error,
  CASE o_orderkey % 2 WHEN 0 THEN 'vente' ELSE 'location' END AS listing_type,
  concat('Bien ', CAST(o_orderkey AS VARCHAR(20))) AS title,
  CASE o_orderkey % 9 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) WHEN 2 THEN CAST(-1 AS DOUBLE) ELSE o_totalprice END AS price,
  CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Rabat' WHEN 2 THEN 'Agdal à Rabat' ELSE 'Hay à Salam à Fès' END AS location_text,
  CASE o_orderkey % 2 WHEN 0 THEN NULL ELSE '["Terrasse","Ascenseur"]' END AS features_amenities_json,
  concat('Texte ', o_orderpriority) AS description_text,
- CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '{"Type de bien":" Villa ","Étage du bien":"2"}'
+ CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '{"Type de bien":" Villa ","Étage du bien":"2"}'
+      WHEN 2 THEN '{"Surface de la parcelle":"400","Type du sol":"marbre","Années":"5-10","Orientation":" Sud"}'
+      WHEN 3 THEN '[1]' WHEN 4 THEN '{"etat":"ancien","type de bien":"x"}'
       ELSE '{"Type de bien":"Appartement","Etat":" Neuf "}' END AS features_main_json,
- CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '["a","b"]' ELSE '[]' END AS gallery_urls,
+ CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '["a","b"]' WHEN 2 THEN '{"a":"b"}' ELSE '[]' END AS gallery_urls,
  CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'NaN' WHEN 2 THEN ' ' ELSE ' Agence X' END AS agency_name,
  'https://example.test/agence' AS agency_url,
- CAST(NULL AS VARCHAR(20)) AS published_date,
+ CASE o_orderkey % 11 WHEN 0 THEN '2025-11-02 10:00:00' END AS published_date,
  o_orderdate + CAST(o_orderkey % 2000000000 AS INT) * INTERVAL '1' SECOND AS ingest_ts
 FROM orders
 """
@@ -111,6 +116,81 @@ SELECT page_id, url,
 FROM pages
 """
 
+# What listing pages of source A say, one page for each order; the checks start from these columns.
+PAGE_ROWS_A = """
+SELECT o_orderkey AS page_id, concat('https://www.avito.ma/fr/x_', CAST(o_orderkey AS VARCHAR(20)), '.htm') AS url,
+ concat('Bien ', CAST(o_orderkey AS VARCHAR(20)), ' & fils') AS title,
+ CASE o_orderkey % 5 WHEN 0 THEN NULL ELSE concat(CAST(o_orderkey % 900 AS VARCHAR(20)), ' 000 DH') END AS price,
+ CASE o_orderkey % 4 WHEN 0 THEN NULL ELSE 'Appartements, à louer' END AS category,
+ CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '3' ELSE '12' END AS rooms,
+ CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'il y a 2 jours' WHEN 2 THEN 'il y a 9000 ans' ELSE 'à l''instant' END AS age,
+ CASE o_orderkey % 8 WHEN 0 THEN NULL ELSE concat('https://content.avito.ma/', CAST(o_orderkey % 50 AS VARCHAR(20)), '.jpg') END AS picture,
+ o_orderkey % 2 AS shop, o_orderkey % 11 AS nothing, o_orderpriority AS said
+FROM orders
+"""
+
+HTML_A = """
+SELECT page_id, url, CASE WHEN nothing <> 0 THEN concat(
+ '<html><body><ol class="x sc-16q833i-0"><li><a href="/">Accueil</a></li><li><span class="sc-16q833i-2">Tout le Maroc </span></li></ol>',
+ '<h1 class="sc-9ca53b09-5 y">', replace(title, '&', '&amp;'), '</h1>',
+ coalesce(concat('<p class="sc-9ca53b09-10">', price, '</p>'), ''),
+ coalesce(concat('<div class="sc-172bdcdc-0"><span class="sc-1x0vz2r-0 fjZBup">', category, '</span></div>'), ''),
+ '<div class="sc-7378144c-0">', said, '<br>Fin</div>',
+ coalesce(concat('<div class="sc-cd1c365e-1 clDxnX"><img alt="i"><span class="sc-1x0vz2r-0 fjZBup">', rooms,
+  '</span><span class="sc-1x0vz2r-0 bXFCIH">Chambres</span></div>'), ''),
+ '<div class="sc-cd1c365e-1 clDxnX"><img alt="i"><span class="sc-1x0vz2r-0 bXFCIH">Salons</span></div>',
+ '<div class="sc-cd1c365e-0 bERAxq"><div class="sc-cd1c365e-1"><span class="sc-1x0vz2r-0 fjZBup">Parking</span></div></div>',
+ '<p class="sc-1l0do2b-9">Agence ', said, '</p>', CASE shop WHEN 1 THEN '<svg aria-labelledby="ShopBadgeTitle"></svg>' ELSE '' END,
+ coalesce(concat('<div>', age, ' <time></time></div>'), ''),
+ coalesce(concat('<div class="slick-slide"><img src="', picture, '"><img src="https://other.test/x.jpg"><img src="', picture, '"></div>'), ''),
+ '</body></html>') END AS html
+FROM rows_a
+"""
+
+PAGE_ROWS_M = """
+SELECT o_orderkey AS page_id, concat('https://www.mubawab.ma/fr/a/', CAST(o_orderkey AS VARCHAR(20)), '/x') AS url,
+ concat('Villa ', CAST(o_orderkey AS VARCHAR(20))) AS title,
+ CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE o_orderkey % 900 END AS thousands,
+ CASE o_orderkey % 4 WHEN 0 THEN NULL ELSE 'Agdal à Rabat' END AS place,
+ CASE o_orderkey % 3 WHEN 0 THEN NULL ELSE 'Terrasse' END AS amenity,
+ CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'Riad' ELSE 'Villa' END AS kind,
+ CASE o_orderkey % 7 WHEN 0 THEN NULL ELSE concat('https://x.mubawab-media.com/ad/', CAST(o_orderkey % 50 AS VARCHAR(20)), '.jpg') END AS picture,
+ CASE o_orderkey % 9 WHEN 0 THEN NULL ELSE o_orderpriority END AS agency, o_orderkey % 11 AS nothing
+FROM orders
+"""
+
+HTML_M = """
+SELECT page_id, url, CASE WHEN nothing <> 0 THEN concat(
+ '<h1 class="searchTitle">', title, '</h1>',
+ coalesce(concat('<h3 class="orangeTit">', CASE WHEN thousands < 0 THEN 'Prix sur demande' ELSE concat(CAST(thousands AS STRING), ' 000 DH') END, '</h3>'), ''),
+ coalesce(concat('<h3 class="greyTit">', place, '</h3>'), ''),
+ '<div class="adFeatures"><div class="adFeature"><span>Jardin</span></div>', coalesce(concat('<div class="adFeature"><span>', amenity, '</span></div>'), ''), '</div>',
+ '<div class="blockProp"><p>Belle vue<p>Suite</div>',
+ coalesce(concat('<div class="caractBlockProp"><div class="adMainFeature"><p class="adMainFeatureContentLabel">Type de bien</p>',
+  '<p class="adMainFeatureContentValue">', kind, '</p></div></div>'), ''),
+ coalesce(concat('<div class="picturesGallery"><img src="', picture, '"><img src="/logo.png"></div><div class="flipsnap"><img src="', picture, '"></div>'), ''),
+ coalesce(concat('<div class="businessInfo"><span class="businessName"> ', agency, '</span><a href="/fr/agence/1">x</a></div>'), '')) END AS html
+FROM rows_m
+"""
+
+# Pages of results: links of either tier, one of them twice, and links to something else.
+RESULTS_A = """
+SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 13 <> 0 THEN concat(
+ '<a href="/fr/help">Aide</a><a class="z sc-1jge648-0" href="/fr/b_', CAST(o_orderkey AS STRING), '.htm">b</a>',
+ '<section class="sc-b341c660-0"><a href="./fr/c_', CAST(o_orderkey % 100 AS STRING), '.htm">c</a>',
+ '<p><a href=''/fr/b_', CAST(o_orderkey AS STRING), '.htm''>b</a><a href="/fr/no.htm">n</a></p></section>',
+ '<a class="sc-1jge648-0" href=https://www.avito.ma/fr/d_', CAST(o_orderkey % 10 AS STRING), '.htm>d</a>') END AS html
+FROM orders
+"""
+
+RESULTS_M = """
+SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 13 <> 0 THEN concat(
+ '<div class="listingBox" linkref="https://www.mubawab.ma/fr/a/', CAST(o_orderkey AS STRING), '/b">b</div>',
+ '<h2 class="listingTit"><a href="/fr/a/', CAST(o_orderkey % 100 AS STRING), '/c">c</a></h2><h2 class="listingTit"><a href="/fr/p/1">p</a></h2>',
+ '<a href="/fr/a/', CAST(o_orderkey % 10 AS STRING), '/d">d</a><a href="/fr/help">Aide</a>') END AS html
+FROM orders
+"""
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -118,7 +198,7 @@ TABLES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def derived(spark: SparkSession, sf_dir: str, text: str, source: str) -> DataFrame:
@@ -133,6 +213,12 @@ def over(df: DataFrame, text: str, name: str) -> DataFrame:
     return df.sparkSession.sql(named, source=df)
 
 
+def listing_pages(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
+    """Listing pages (page_id, url, html) of source A or M, one for each order."""
+    said, page, name = (PAGE_ROWS_A, HTML_A, "rows_a") if site == "a" else (PAGE_ROWS_M, HTML_M, "rows_m")
+    return over(derived(spark, sf_dir, said, "orders"), page, name)
+
+
 def listing_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived(spark, sf_dir, LISTING_A, "orders")
 

@@ -44,7 +44,8 @@ def _with(*names: str) -> str:
 def _latest(source: str) -> str:
     return (
         "SELECT * EXCLUDE (age) FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY id ORDER BY ingest_ts DESC) AS age FROM {source}) WHERE age = 1"
+        # Of rows that are there again the text of the shorter title is the greater one.
+        f"(PARTITION BY id ORDER BY ingest_ts DESC, title) AS age FROM {source}) WHERE age = 1"
     )
 
 
@@ -63,9 +64,19 @@ def _seller(name: str, placeholders: tuple[str, ...]) -> str:
     )
 
 
-def _attribute(column: str, label: str) -> str:
+def _object(column: str) -> str:
+    """The text if it is a JSON object."""
+    return f"CASE WHEN json_valid({column}) AND json_type({column}) = 'OBJECT' THEN {column} END"
+
+
+def _value(column: str, label: str) -> str:
     key = label.replace("'", "''")
-    return f"""trim(json_extract_string({column}, '$."{key}"'))"""
+    return f"""json_extract_string({_object(column)}, '$."{key}"')"""
+
+
+def _attribute(column: str, *spellings: str) -> str:
+    """Of several spellings the first that is there; they are given in the order of their bytes."""
+    return f"trim(coalesce({', '.join(_value(column, s) for s in spellings)}))"
 
 
 PRICE = "TRY_CAST(regexp_replace(price_text, '[^0-9.]', '', 'g') AS DOUBLE)"
@@ -98,7 +109,24 @@ EQUIPMENT_ITEMS = (
 EQUIPMENTS_A = (
     f"coalesce(list_filter({EQUIPMENT_ITEMS}, lambda x, i: list_position({EQUIPMENT_ITEMS}, x) = i), [])"
 )
-IMAGES_M = "CAST(from_json(gallery_urls, '[\"VARCHAR\"]') AS VARCHAR[])"
+IMAGES_M = (
+    "CASE WHEN json_valid(gallery_urls) AND json_type(gallery_urls) = 'ARRAY' "
+    "THEN CAST(from_json(gallery_urls, '[\"VARCHAR\"]') AS VARCHAR[]) END"
+)
+# Columns and what is looked up for them, written out: the checks don't share how names are made.
+ATTRIBUTES_A = {
+    "surface_habitable": ["Surface habitable"], "caution": ["Caution"], "zoning": ["Zoning"],
+    "type_d_appartement": ["Type d'appartement"], "standing": ["Standing"], "surface_totale": ["Surface totale"],
+    "etage": ["Étage"], "age_du_bien": ["Âge du bien"], "nombre_de_pieces": ["Nombre de pièces"],
+    "chambres": ["Chambres", "chambres"], "salle_de_bain": ["Salle de bain"],
+    "frais_de_syndic_mois": ["Frais de syndic / mois"], "condition": ["Condition"],
+    "nombre_d_etage": ["Nombre d'étage"], "disponibilite": ["Disponibilité"], "salons": ["Salons"],
+}
+ATTRIBUTES_M = {
+    "type_de_bien": ["Type de bien", "type de bien"], "surface_de_la_parcelle": ["Surface de la parcelle"],
+    "type_du_sol": ["Type du sol"], "etage_du_bien": ["Étage du bien"], "annees": ["Années"],
+    "orientation": ["Orientation"], "etat": ["Etat", "etat"],
+}
 HAS_URL = "url IS NOT NULL AND trim(url) <> ''"
 
 
@@ -119,17 +147,17 @@ SILVER_A_COLUMNS = {
     "published_date": "published_date", "city": CITY_A, "neighborhood": AREA_A,
     "property_type": f"trim({CATEGORY}[1])", "images": _joined(IMAGES_A),
     "equipments": _joined(EQUIPMENTS_A), "description_text": "description", "offre_match": MATCH,
-    **{text.label_to_column(label): _attribute("attributes", label) for label in V.LABELS_A},
+    **{name: _attribute("attributes", *spellings) for name, spellings in ATTRIBUTES_A.items()},
 }
 SILVER_M_COLUMNS = {
     "id": "id", "url": "url", "error": "error", "ingest_ts": "ingest_ts", "site": f"'{V.SITE_M}'",
     "offre": "listing_type", "price": "CASE WHEN price > 0 THEN price END", "title": "title",
     "seller": _seller("agency_name", ("nan", "null", "unknown")),
     "published_date": "published_date", "city": CITY_M, "neighborhood": AREA_M,
-    "property_type": "json_extract_string(features_main_json, '$.\"Type de bien\"')",
+    "property_type": _value("features_main_json", "Type de bien"),
     "images": _joined(IMAGES_M), "description_text": "description_text",
     "features_amenities_json": "features_amenities_json",
-    **{text.label_to_column(label): _attribute("features_main_json", label) for label in V.LABELS_M},
+    **{name: _attribute("features_main_json", *spellings) for name, spellings in ATTRIBUTES_M.items()},
 }
 SILVER_A_SQL = _silver_sql("latest_a", SILVER_A_COLUMNS)
 SILVER_M_SQL = _silver_sql("latest_m", SILVER_M_COLUMNS)
@@ -149,8 +177,8 @@ def _m(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     return payloads.parse_payload(I.raw_m(spark, sf_dir), PAYLOAD_M, fields)
 
 
-def _all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_all(I.raw_a(spark, sf_dir), I.raw_m(spark, sf_dir))
+def _all(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return silver.silver_all(I.raw_a(spark, sf_dir), I.raw_m(spark, sf_dir), columns=columns or None)
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -202,7 +230,7 @@ def stream_preview(spark, sf_dir):
     return payloads.preview_lines(I.derived(spark, sf_dir, I.SPARSE_FRAME, "events"))
 
 
-@query("SELECT count(*) AS rows FROM orders")
+@query(_with("listing_a") + "SELECT count(*) AS rows FROM listing_a")
 def raw_scan_count(spark, sf_dir):
     return profiling.row_count(I.raw_a(spark, sf_dir))
 
@@ -340,12 +368,12 @@ def _bags_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _keys_sql(source: str, column: str) -> str:
-    return f"SELECT DISTINCT unnest(json_keys({column})) AS k FROM {source}"
+    return f"SELECT DISTINCT unnest(json_keys({_object(column)})) AS k FROM {source}"
 
 
-@query(_with("listing_a") + """
+@query(_with("listing_a") + f"""
 SELECT title, k, json_extract_string(attributes, concat('$."', k, '"')) AS v
-FROM (SELECT title, attributes, unnest(json_keys(attributes)) AS k FROM listing_a)""")
+FROM (SELECT title, attributes, unnest(json_keys({_object('attributes')})) AS k FROM listing_a)""")
 def attr_map(spark, sf_dir):
     return _bags_a(spark, sf_dir).select("title", F.explode("bag").alias("k", "v"))
 
@@ -367,8 +395,7 @@ def sanitize_keys(spark, sf_dir):
 
 
 @query(_with("listing_a") + "SELECT title, " + ", ".join(
-    f"{SILVER_A_COLUMNS[text.label_to_column(label)]} AS {text.label_to_column(label)}"
-    for label in V.LABELS_A) + " FROM listing_a")
+    f"{SILVER_A_COLUMNS[name]} AS {name}" for name in ATTRIBUTES_A) + " FROM listing_a")
 def attr_columns(spark, sf_dir):
     texts = _a(spark, sf_dir, "title", "attributes")
     return attributes.labelled_attributes(texts, "attributes", V.LABELS_A).drop("attributes", "ingest_ts")
@@ -378,7 +405,8 @@ def attr_columns(spark, sf_dir):
     f"{SILVER_A_COLUMNS[name]} AS {name}"
     for name in ("age_du_bien", "chambres", "etage", "surface_habitable")) + " FROM listing_a")
 def attr_pivot(spark, sf_dir):
-    return attributes.open_attributes(_bags_a(spark, sf_dir), c("bag"), ["title"])
+    names = ["age_du_bien", "chambres", "etage", "surface_habitable"]
+    return attributes.pivoted_attributes(_bags_a(spark, sf_dir), c("bag"), names, ["title"])
 
 
 # --- single columns, source M ------------------------------------------------
@@ -471,13 +499,13 @@ def _frequency(name: str, source: str, column: str, top: int | None = None) -> N
 _frequency("freq_seller", "listing_a", "seller_name", top=10)
 _frequency("freq_seller_type", "listing_a", "seller_type")
 _frequency("freq_equipment_text", "listing_a", "equipments", top=5)
-_frequency("freq_category", "listing_a", "category", top=50)
-_frequency("freq_offer", "listing_a", "listing_type", top=50)
-_frequency("freq_breadcrumbs", "listing_a", "breadcrumbs", top=50)
+_frequency("freq_category", "listing_a", "category")
+_frequency("freq_offer", "listing_a", "listing_type")
+_frequency("freq_breadcrumbs", "listing_a", "breadcrumbs")
 _frequency("freq_agency", "listing_m", "agency_name")
 _frequency("freq_amenities", "listing_m", "features_amenities_json", top=10)
-_frequency("freq_location", "listing_m", "location_text", top=5)
-_frequency("freq_offer_m", "listing_m", "listing_type", top=50)
+_frequency("freq_location", "listing_m", "location_text")
+_frequency("freq_offer_m", "listing_m", "listing_type")
 
 
 @query(_with("listing_a") + f"""
@@ -534,17 +562,17 @@ def silver_all(spark, sf_dir):
 
 @query(SILVER_ALL + "SELECT id, title, price, city, offre FROM silver ORDER BY site, id LIMIT 5")
 def silver_sample(spark, sf_dir):
-    return _all(spark, sf_dir).orderBy("site", "id").limit(5).select(
+    return _all(spark, sf_dir, "site", "id", "title", "price", "city", "offre").orderBy("site", "id").limit(5).select(
         "id", "title", "price", "city", "offre"
     )
 
 
 @query(SILVER_ALL + "SELECT city, offre, count(*) AS count FROM silver GROUP BY city, offre")
 def count_city_offer(spark, sf_dir):
-    return profiling.group_counts(_all(spark, sf_dir), "city", "offre")
+    return profiling.group_counts(_all(spark, sf_dir, "city", "offre"), "city", "offre")
 
 
 @query(SILVER_ALL + "SELECT offre, round(avg(price), 2) AS avg_price FROM silver GROUP BY offre")
 def avg_price_offer(spark, sf_dir):
-    means = profiling.mean_by(_all(spark, sf_dir), "offre", "price", "avg_price")
+    means = profiling.mean_by(_all(spark, sf_dir, "offre", "price"), "offre", "price", "avg_price")
     return means.withColumn("avg_price", F.round("avg_price", 2))

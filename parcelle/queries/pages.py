@@ -16,16 +16,6 @@ from parcelle.queries.registry import query
 SITE = "https://example.test"
 IMAGE_HOST = "cdn.example.test/"
 
-# Where the given pages keep what listing pages keep elsewhere.
-GIVEN_A = V.SELECTORS_A | {
-    "title": "h1", "breadcrumbs": "nav a", "category": "title", "description": "div.ad",
-    "equipment": "nav li", "equipment_name": "a", "seller_name": "footer",
-}
-GIVEN_M = V.SELECTORS_M | {
-    "title": "h1", "location": "footer", "amenities": "nav li a",
-    "description_block": "body", "description": "div.ad",
-    "agency": "nav", "agency_name": "a", "agency_link": "a[href]",
-}
 GIVEN_ID = r"/(\d+)"
 
 c = F.col
@@ -46,16 +36,11 @@ def _clean(text_sql: str) -> str:
     return f"nullif(trim({collapsed}), '')"
 
 
-def _inside(tag: str) -> str:
-    return _clean(_plain(f"nullif(regexp_extract(html, '<{tag}[^>]*>(.*?)</{tag}>', 1, 's'), '')"))
-
-
 HREFS = "list_transform(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1), lambda x: " + _plain("x") + ")"
 LINK_TEXTS = (
     "list_filter(list_transform(regexp_extract_all(html, '<a href=\"[^\"]*\">([^<]*)</a>', 1), lambda x: "
     + _clean(_plain("x")) + "), lambda x: x IS NOT NULL)"
 )
-AD = _clean(_plain("regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1, 's')"))
 URL_ID = r"nullif(regexp_extract(url, '/(\d+)', 1), '')"
 LINK_ROWS = f"""
 SELECT page_id, link, min(spot) AS spot FROM (
@@ -104,38 +89,78 @@ def page_images(spark, sf_dir):
     return found.withColumn("images", F.array_join("images", LIST_MARK))
 
 
+# --- listing links ----------------------------------------------------------
+
+def _links_sql(*tiers: str) -> str:
+    """(page_id, pos, link) of the tiers in order, each link where it is met first."""
+    return f"""
+WITH found AS (SELECT page_id, tiers FROM (SELECT o_orderkey AS page_id, [{', '.join(tiers)}] AS tiers FROM orders WHERE o_orderkey % 13 <> 0)),
+ spots AS (SELECT page_id, unnest(tiers) AS link, generate_subscripts(tiers, 1) AS spot FROM found),
+ firsts AS (SELECT page_id, link, min(spot) AS spot FROM spots GROUP BY page_id, link)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY spot) - 1 AS INTEGER) AS pos, link FROM firsts"""
+
+
+@query(_links_sql(
+    f"concat('{V.BASE_URL_A}/fr/b_', CAST(o_orderkey AS VARCHAR), '.htm')", f"concat('{V.BASE_URL_A}/fr/d_', CAST(o_orderkey % 10 AS VARCHAR), '.htm')",
+    f"concat('{V.BASE_URL_A}/fr/c_', CAST(o_orderkey % 100 AS VARCHAR), '.htm')"))
+def listing_links_a(spark, sf_dir):
+    return page_records.listing_links_a(I.derived(spark, sf_dir, I.RESULTS_A, "orders"))
+
+
+@query(_links_sql(
+    f"concat('{V.BASE_URL_M}/fr/a/', CAST(o_orderkey AS VARCHAR), '/b')", f"concat('{V.BASE_URL_M}/fr/a/', CAST(o_orderkey % 100 AS VARCHAR), '/c')",
+    f"concat('{V.BASE_URL_M}/fr/a/', CAST(o_orderkey % 10 AS VARCHAR), '/d')"))
+def listing_links_m(spark, sf_dir):
+    return page_records.listing_links_m(I.derived(spark, sf_dir, I.RESULTS_M, "orders"))
+
+
 # --- fields ------------------------------------------------------------------
 
+SEEN = "2025-11-02 10:00:00"
+
+
+def _read(readable: str, columns: dict[str, str]) -> str:
+    """Columns of pages that can be read, and NULLs for the others."""
+    return ", ".join(f"CASE WHEN {readable} THEN {made} END AS {name}" for name, made in columns.items())
+
+
 @query(f"""
-SELECT page_id, {URL_ID} AS id, url, CAST(NULL AS VARCHAR) AS error, {_inside('h1')} AS title,
- CAST(NULL AS VARCHAR) AS price_text, nullif(array_to_string({LINK_TEXTS}, ' > '), '') AS breadcrumbs,
- {_inside('title')} AS category, {AD} AS description, CAST(NULL AS VARCHAR) AS attributes,
- nullif(array_to_string({LINK_TEXTS}, '; '), '') AS equipments, {_inside('footer')} AS seller_name,
- 'Particulier' AS seller_type, CAST(NULL AS VARCHAR) AS published_date,
- CAST(NULL AS VARCHAR) AS image_urls, 'vente' AS listing_type
-FROM pages""")
+WITH rows_a AS ({I.PAGE_ROWS_A})
+SELECT page_id, CAST(page_id AS VARCHAR) AS id, url, 'vente' AS listing_type,
+ CASE WHEN nothing = 0 THEN 'page has no text' WHEN age LIKE '%9000%' THEN 'date value out of range' END AS error,
+ {_read("nothing <> 0 AND coalesce(age, '') NOT LIKE '%9000%'", {
+    "title": "title", "price_text": "price", "breadcrumbs": "'Accueil > Tout le Maroc'", "category": "category",
+    "description": "concat(said, ' Fin')", "attributes": """CASE WHEN rooms IS NOT NULL THEN concat('{"Chambres":"', rooms, '"}') END""",
+    "equipments": "'Parking'", "seller_name": "concat('Agence ', said)", "seller_type": "CASE shop WHEN 1 THEN 'Boutique' ELSE 'Particulier' END",
+    "published_date": f"CASE WHEN age LIKE '%jours' THEN '2025-10-31 10:00:00' WHEN age IS NOT NULL THEN '{SEEN}' END",
+    "image_urls": "picture"})}
+FROM rows_a""")
 def page_fields(spark, sf_dir):
-    return page_records.records_a(
-        I.table(spark, sf_dir, "pages"), "vendre", F.current_timestamp(), GIVEN_A, GIVEN_ID
-    )
+    return page_records.records_a(I.listing_pages(spark, sf_dir, "a"), "vendre", F.lit(SEEN).cast("timestamp"))
 
 
 @query(f"""
-SELECT page_id, {URL_ID} AS id, url, CAST(NULL AS VARCHAR) AS error, 'location' AS listing_type,
- {_inside('h1')} AS title, CAST(NULL AS DOUBLE) AS price, {_inside('footer')} AS location_text,
- CASE WHEN len({LINK_TEXTS}) > 0 THEN CAST(to_json({LINK_TEXTS}) AS VARCHAR) END AS features_amenities_json,
- {AD} AS description_text, CAST(NULL AS VARCHAR) AS features_main_json,
- CAST(NULL AS VARCHAR) AS gallery_urls, {_clean(_plain("regexp_extract(html, '<a [^>]*>([^<]*)</a>', 1)"))} AS agency_name,
- concat('{V.BASE_URL_M}', {HREFS}[1]) AS agency_url, CAST(NULL AS VARCHAR) AS published_date
-FROM pages""")
+WITH rows_m AS ({I.PAGE_ROWS_M})
+SELECT page_id, CAST(page_id AS VARCHAR) AS id, url, 'location' AS listing_type, CAST(NULL AS VARCHAR) AS published_date,
+ CASE WHEN nothing = 0 THEN 'page has no text' END AS error,
+ {_read("nothing <> 0", {
+    "title": "title", "price": "CASE WHEN thousands >= 0 THEN CAST(thousands * 1000 AS DOUBLE) END", "location_text": "place",
+    "features_amenities_json": """CASE WHEN amenity IS NULL THEN '["Jardin"]' ELSE '["Jardin","Terrasse"]' END""",
+    "description_text": "'Belle vue'", "features_main_json": """CASE WHEN kind IS NOT NULL THEN concat('{"Type de bien":"', kind, '"}') END""",
+    "gallery_urls": """CASE WHEN picture IS NOT NULL THEN concat('["', picture, '"]') END""", "agency_name": "agency",
+    "agency_url": f"CASE WHEN agency IS NOT NULL THEN '{V.BASE_URL_M}/fr/agence/1' END"})}
+FROM rows_m""")
 def page_fields_m(spark, sf_dir):
-    return page_records.records_m(I.table(spark, sf_dir, "pages"), "louer", GIVEN_M, GIVEN_ID)
+    return page_records.records_m(I.listing_pages(spark, sf_dir, "m"), "louer")
 
 
 @query(f"""
-SELECT DISTINCT page_id, unnest({LINK_TEXTS}) AS label, unnest({LINK_TEXTS}) AS value FROM pages""")
+WITH rows_m AS ({I.PAGE_ROWS_M})
+SELECT page_id, 'Type de bien' AS label, kind AS value FROM rows_m WHERE nothing <> 0 AND kind IS NOT NULL""")
 def page_label_values(spark, sf_dir):
-    return page_ops.label_values(I.table(spark, sf_dir, "pages"), rules.pairs("nav li", "a", "a"))
+    at = V.SELECTORS_M
+    rule = rules.pairs(at["feature"], at["feature_label"], at["feature_value"])
+    return page_ops.label_values(I.listing_pages(spark, sf_dir, "m"), rule)
 
 
 # --- functions ---------------------------------------------------------------

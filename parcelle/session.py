@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,24 +72,32 @@ def _local_cores(master: str) -> int:
     return int(inside) if inside.isdigit() else (os.cpu_count() or 8)
 
 
-# Spark's size of a relation whose size it does not know is near this or above.
+# Spark gives this size, or more, to a relation whose size it does not know.
 _UNKNOWN_SIZE = 1 << 60
-_MOST_PARTITIONS = 100_000
+_SETTING = "spark.sql.shuffle.partitions"
 
 
-def size_shuffles(df: DataFrame, bytes_per_partition: int = 128 << 20) -> int:
-    """Raise the session's shuffle partitions to what an input needs, and return them.
+def shuffle_partitions_for(df: DataFrame, bytes_per_partition: int = 128 << 20) -> int:
+    """Shuffle partitions that an input needs, the session's own at least.
 
     Adaptive execution merges partitions that turn out small but never adds any, so
     the number has to fit the largest shuffle, which carries the input's payloads.
-    The size is that of the files left after partition pruning.
+    The size is that of the files left after partition pruning; where Spark does not
+    know it, the session's own number stands.
     """
-    spark = df.sparkSession
-    setting = "spark.sql.shuffle.partitions"
-    partitions = int(spark.conf.get(setting))
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size < _UNKNOWN_SIZE:
-        needed = min(-(-size // bytes_per_partition), _MOST_PARTITIONS)
-        partitions = max(partitions, needed)
-        spark.conf.set(setting, str(partitions))
-    return partitions
+    own = int(df.sparkSession.conf.get(_SETTING))
+    return own if size >= _UNKNOWN_SIZE else max(own, -(-size // bytes_per_partition))
+
+
+@contextlib.contextmanager
+def sized_shuffles(df: DataFrame, bytes_per_partition: int = 128 << 20) -> Iterator[int]:
+    """Within it, shuffles have as many partitions as the input needs; after it, as before."""
+    spark = df.sparkSession
+    before = spark.conf.get(_SETTING)
+    partitions = shuffle_partitions_for(df, bytes_per_partition)
+    spark.conf.set(_SETTING, str(partitions))
+    try:
+        yield partitions
+    finally:
+        spark.conf.set(_SETTING, before)

@@ -1,4 +1,4 @@
-"""Reading small files on all cores, and CSV output."""
+"""CSV output."""
 
 from __future__ import annotations
 
@@ -9,16 +9,6 @@ from pyspark.sql import types as T
 from parcelle.functions.text import collapse_blanks
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the cluster has cores, dealt out over all of them.
-
-    Parsing is work for the processor, and a small file is one split, so one core. A
-    scan of some size has splits for every core and stays as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_csv(df: DataFrame, path: str, squeeze: bool = False, mode: str = "errorifexists") -> None:
     """Rows as CSV part files with a header and every field in quotes.
 

@@ -26,8 +26,10 @@ ICEBERG = "iceberg"
 PARQUET = "parquet"
 PROVIDERS = (ICEBERG, PARQUET)
 
-APPEND = "append"
-OVERWRITE_MODES = ("overwrite", "dynamic_overwrite", "dynamic-overwrite")
+APPEND = V.APPEND
+MERGE = "merge"
+# What a version of a listing is told by.
+VERSION = ("site", "id", "ingest_ts")
 
 
 def table_name(*parts: str | None) -> str:
@@ -43,7 +45,7 @@ def table_ddl(name: str, schema: T.StructType, provider: str = ICEBERG) -> str:
         return (
             f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING iceberg "
             "PARTITIONED BY (days(ingest_ts)) "
-            "TBLPROPERTIES ('format-version' = '2', 'write.distribution-mode' = 'none')"
+            f"TBLPROPERTIES ({', '.join(f"'{k}' = '{v}'" for k, v in V.ICEBERG_TABLE.items())})"
         )
     if provider == PARQUET:
         dated = T.StructType([*schema.fields, PARTITION])
@@ -149,25 +151,29 @@ def write_silver(
     provider: str = ICEBERG,
     rebalance: bool = False,
 ) -> None:
-    """Append to a unified table, or replace the days that the rows fall on.
+    """Append to a unified table, add what is new to it, or replace days of a site.
+
+    ``merge`` leaves out versions that are there already, so that windows may overlap.
+    The overwrite modes replace, of the days that the rows fall on, the rows of the
+    sites they are of; the other sites' rows of these days are written again.
 
     ``rebalance`` shuffles once more so that each day ends up in few files of even
     size: for backfills over many days. A day with most of the rows is split over
     several tasks, so no writer gets it whole.
     """
     how = (mode or APPEND).lower()
-    if how != APPEND and how not in OVERWRITE_MODES:
+    if how not in (APPEND, MERGE) and how not in V.OVERWRITE_MODES:
         raise ValueError(f"unsupported write mode: {mode}")
     rows = unified_rows(df)
+    if how == MERGE:
+        rows, how = new_versions(rows, df.sparkSession.table(name)), APPEND
+    elif how != APPEND:
+        rows = rows.unionByName(unified_rows(other_sites(rows, df.sparkSession.table(name))))
     if provider == ICEBERG:
         if rebalance:
             # No column: the table's days are a transform, and AQE evens out sizes.
             rows = rows.hint("rebalance")
-        writer = (
-            rows.writeTo(name)
-            .option("check-nullability", "false")
-            .option("check-ordering", "false")
-        )
+        writer = rows.writeTo(name).options(**V.ICEBERG_WRITE)
         writer.append() if how == APPEND else writer.overwritePartitions()
     elif provider == PARQUET:
         dated = with_partition(rows)
@@ -182,6 +188,27 @@ def write_silver(
         raise ValueError(f"unknown table provider: {provider}")
 
 
+def _days(rows: DataFrame) -> DataFrame:
+    return rows.select(utc_day(F.col("ingest_ts")).alias(PARTITION.name)).distinct()
+
+
+def _dated(there: DataFrame) -> DataFrame:
+    return there if PARTITION.name in there.columns else with_partition(there)
+
+
+def new_versions(rows: DataFrame, there: DataFrame) -> DataFrame:
+    """Rows whose version is not in the table, of which only the days of the rows are compared."""
+    known = _dated(there).join(_days(rows), PARTITION.name, "left_semi").select(*VERSION)
+    return rows.join(known, list(VERSION), "left_anti").select(*rows.columns)
+
+
+def other_sites(rows: DataFrame, there: DataFrame) -> DataFrame:
+    """The table's rows on the days of the given rows that are of sites with no row on that day."""
+    sites = with_partition(rows).select(PARTITION.name, "site").distinct()
+    same_days = _dated(there).join(_days(rows), PARTITION.name, "left_semi")
+    return same_days.join(sites, [PARTITION.name, "site"], "left_anti")
+
+
 @contextlib.contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Inserts replace the partitions they touch; no option of the writer says so."""

@@ -62,7 +62,8 @@ def start_raw_sink(
     trigger: str | None = V.TRIGGER,
     once: bool = False,
 ) -> StreamingQuery:
-    """Append records to a raw table (``iceberg``) or day-partitioned folder (``parquet``).
+    """Append records to a raw table, or with ``parquet`` to a day-partitioned folder if the
+    target is a path (it has a ``/``).
 
     With ``once`` it takes what is there and ends; otherwise it goes on at every
     trigger. A restart on the same checkpoint takes up where it ended.
@@ -72,7 +73,8 @@ def start_raw_sink(
         return _timed(envelopes.writeStream.format(ICEBERG), checkpoint, trigger, once).toTable(target)
     if provider == PARQUET:
         writer = with_partition(envelopes).writeStream.format(PARQUET).partitionBy(PARTITION.name)
-        return _timed(writer, checkpoint, trigger, once).start(target)
+        timed = _timed(writer, checkpoint, trigger, once)
+        return timed.start(target) if "/" in target else timed.toTable(target)
     raise ValueError(f"unknown table provider: {provider}")
 
 

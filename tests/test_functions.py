@@ -3,6 +3,8 @@
 import datetime as dt
 import re
 import unicodedata
+from html import unescape
+from urllib.parse import urljoin
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from parcelle import fixed_values as V
 from parcelle.functions import bags, dates, html, places, text
+from parcelle.operators import page_rules
 
 NOW = dt.datetime(2025, 11, 2, 10, 0, 0)
 
@@ -256,4 +259,39 @@ def test_flat_html(spark):
         ["/one?a=1&b=2", "/two"], None,
     ]
     assert each(spark, lambda v: html.element_texts(v, "a"), [page]) == [["One <1>", "x", "Two"]]
-    assert each(spark, lambda v: text.clean_text(html.page_text(v)), [page]) == ["One <1> x Two"]
+    page = (
+        """<a href="/l'agence_1.htm">x</a><A HREF='/caf&eacute;_2.htm' title="a>b"><a class=x href=/z_3.htm>"""
+        """<a data-href="no" href = "/d"><abbr href="n"><a href="1" HREF="2"><a title='x href="q"' href="/t">"""
+    )
+    assert each(spark, lambda v: html.attribute_values(v, "a", "href"), [page]) == [
+        ["/l'agence_1.htm", "/café_2.htm", "/z_3.htm", "/d", "1", "/t"],
+    ]
+    tree = page_rules.read_page(page)
+    assert page_rules.values("a[href]", "href").take(tree) == ["/l'agence_1.htm", "/café_2.htm", "/z_3.htm", "/d", "1", "/t"]
+
+
+def test_references(spark):
+    values = [
+        "caf&eacute; &amp;lt; &#39;&#x27; &#8364;&#128; &copy &nosuch; &middot;x", "&#0;&#xD800;&#99999999999;", "a&b &", "plain",
+        "&#x1F600;&notin;", None,
+    ]
+    assert each(spark, html.unescape, values) == [v and unescape(v) for v in values]
+
+
+def test_relative_addresses(spark):
+    base = "https://e.test"
+    values = [
+        "./w_4.htm", "/a/../b_5.htm", "a/b/../../c", "../../x", "/a/./b/", "?q=1", "#f", "", "//h/x/../y", "https://o/a/../b",
+        "/a/..", "a/.", "/x?y=/../z", "mailto:a", "..",
+    ]
+    assert each(spark, lambda v: text.absolute_url(v, base), values) == [urljoin(base, v) for v in values]
+
+
+def test_dates_of_any_length(spark):
+    seen = F.lit("2025-11-02 10:00:00").cast("timestamp")
+    values = ["il y a 000000000005 minutes", "il y a 2010 ans", "il y a 2100 ans", "il y a " + "9" * 40 + " jours", "il y a 0 ans", None, ""]
+    assert each(spark, lambda v: dates.absolute_date(v, seen), values) == [
+        "2025-11-02 09:55:00", "0017-03-04 10:00:00", None, None, "2025-11-02 10:00:00", None, None,
+    ]
+    problems = each(spark, lambda v: dates.date_problem(v, seen), values)
+    assert [p is not None for p in problems] == [False, False, True, True, False, False, False]

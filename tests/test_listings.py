@@ -169,12 +169,15 @@ def test_kafka_records_keep_nulls_and_letters(spark):
     assert "é".encode() in bytes(got[0].value)
 
 
-def test_open_attributes(spark):
+def test_pivoted_attributes_and_rows(spark):
     df = spark.createDataFrame(
         [("1", '{"Étage":"3 ","title":"no"}'), ("2", '{"Vue mer":"oui","مساحة":"1"}'), ("3", None)],
         "title string, a string",
     )
-    got = attributes.open_attributes(df, bags.attribute_map(F.col("a")), ["title"])
+    bag = bags.attribute_map(F.col("a"))
+    rows = attributes.attribute_rows(df, bag, ["title"]).collect()
+    assert sorted(map(tuple, rows)) == [("1", "etage", "3"), ("1", "title", "no"), ("2", "vue_mer", "oui")]
+    got = attributes.pivoted_attributes(df, bag, ["etage", "title", "vue_mer"], ["title"])
     assert got.columns == ["title", "etage", "vue_mer"]
     assert sorted(map(tuple, got.collect())) == [("1", "3", None), ("2", None, "oui"), ("3", None, None)]
 
@@ -206,3 +209,13 @@ def test_profiles(spark):
     assert [tuple(r) for r in profiling.duplicate_ids(df).collect()] == [("b", 2)]
     flat = profiling.preview(spark.createDataFrame([("a\r\n\tb", 1)], "t string, n int"), 5)
     assert flat.toPandas().t[0] == "a b"
+
+
+def test_inputs_fill_every_unified_column(spark, sf_dir):
+    """Checks over the unified table can fail for every column: each has values, and booleans have both."""
+    both = silver.silver_all(inputs.raw_a(spark, sf_dir), inputs.raw_m(spark, sf_dir))
+    filled = both.agg(*(F.count(c).alias(c) for c in both.columns), F.countDistinct("offre_match").alias("matches")).first().asDict()
+    assert filled.pop("matches") == 2
+    assert [name for name, n in filled.items() if not n] == []
+    ids = inputs.listing_a(spark, sf_dir).groupBy("id").count()
+    assert 0 < ids.where("count > 1").count() < ids.count()

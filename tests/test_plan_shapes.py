@@ -11,7 +11,7 @@ from parcelle.operators.versions import latest_per_key
 from parcelle.plans import silver
 from parcelle.queries import QUERIES
 from parcelle.queries import inputs
-from parcelle.session import size_shuffles
+from parcelle.session import shuffle_partitions_for, sized_shuffles
 from parcelle.sources import tables
 
 
@@ -67,6 +67,26 @@ def test_full_parse_comes_after_the_cut(spark, raw):
     assert "ReadSchema: struct<payload:string,ingest_ts:timestamp>" in below
 
 
+def parsed_fields(plan):
+    """Fields of each parse of a payload in a plan."""
+    found = re.findall(r"from_json\(((?:StructField\([^)]*\),?)+)", plan)
+    return sorted(part.count("StructField(") for part in found)
+
+
+def test_few_columns_parse_few_fields(spark, sf_dir):
+    for name, most in (("avg_price_offer", 2), ("count_city_offer", 2), ("silver_sample", 5)):
+        fields = parsed_fields(plan_of(QUERIES[name](spark, sf_dir)))
+        assert fields and max(fields) <= most, (name, fields)
+
+
+def test_chosen_columns_are_those_of_the_whole_table(spark, sf_dir):
+    raw_a, raw_m = inputs.raw_a(spark, sf_dir), inputs.raw_m(spark, sf_dir)
+    for chosen in (["id", "property_type", "etat"], ["city", "offre_match"], ["images", "price", "seller"]):
+        whole = silver.silver_all(raw_a, raw_m).select(*chosen)
+        part = silver.silver_all(raw_a, raw_m, columns=chosen)
+        assert part.select(*chosen).exceptAll(whole).isEmpty() and part.count() == whole.count()
+
+
 def test_freshness_reaches_the_scan(spark, raw):
     fresh = silver.silver_a(tables.scan_files(spark, raw, minutes=35, as_of=dt.datetime(1998, 1, 1)))
     scan = plan_of(fresh).split("FileScan", 1)[1]
@@ -100,18 +120,22 @@ def test_counts_are_combined_before_the_shuffle(spark, sf_dir):
         assert "partial_" in plan and "SortAggregate" not in plan
 
 
-def test_open_columns_do_not_shuffle_rows(spark, raw):
+def test_attribute_rows_do_not_shuffle_rows(spark, raw):
     df = tables.scan_files(spark, raw).select("id", "payload")
-    plan = plan_of(attributes.open_attributes(df, bags.attribute_map(df.payload), ["id"]))
+    plan = plan_of(attributes.attribute_rows(df, bags.attribute_map(df.payload), ["id"]))
     assert "Exchange" not in plan
 
 
 def test_shuffles_are_sized_by_the_input(spark, raw):
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    try:
-        scanned = tables.scan_files(spark, raw)
-        assert size_shuffles(scanned) == int(before)
-        assert size_shuffles(scanned, bytes_per_partition=1000) > int(before)
-    finally:
-        spark.conf.set(setting, before)
+    scanned = tables.scan_files(spark, raw)
+    assert shuffle_partitions_for(scanned) == int(before)
+    with sized_shuffles(scanned, bytes_per_partition=1) as partitions:
+        assert int(spark.conf.get(setting)) == partitions > 100_000
+    assert spark.conf.get(setting) == before
+
+
+def test_no_query_deals_its_input_out(spark, sf_dir):
+    for name, query in QUERIES.items():
+        assert "RoundRobin" not in plan_of(query(spark, sf_dir)), name

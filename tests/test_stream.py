@@ -49,8 +49,8 @@ def test_stream_does_not_shuffle(spark, tmp_path):
     source = str(tmp_path / "in")
     records(spark, 0, 10).write.parquet(source)
     query = run(spark, source, str(tmp_path / "raw"), str(tmp_path / "cp"))
-    plan = query._jsq.explainInternal(False) if hasattr(query, "_jsq") else ""
-    assert "Exchange" not in plan
+    plan = query._jsq.explainInternal(False)
+    assert "Project" in plan and "Exchange" not in plan
 
 
 @pytest.mark.parametrize("given, expected", [
@@ -83,6 +83,26 @@ def test_preview_stream(spark, tmp_path):
     assert sum(p.numInputRows for p in query.recentProgress) == 2
 
 
+def test_stream_without_target_feeds_the_next_job(spark, sf_dir, tmp_path):
+    source = str(tmp_path / "records")
+    kafka_records(inputs.listing_a(spark, sf_dir).drop("ingest_ts").limit(200)).write.parquet(source)
+    parquet = ["--provider", "parquet"]
+    create_tables.main([*parquet, "--silver"])
+    stream_raw.main([*parquet, "--source", "avito", "--records", source, "--checkpoint", str(tmp_path / "cp"), "--once"])
+    assert tables.scan(spark, "raw.avito").count() == 200
+    build_silver.main([*parquet, "--source", "avito", "--mode", "merge"])
+    assert tables.scan(spark, "silver.listings_all").count() > 0
+    for name in ("raw.avito", "silver.listings_all"):
+        tables.drop_table(spark, name)
+
+
+def test_links_job(spark, tmp_path):
+    pages = [(1, '<div><a href="/fr/a_1.htm">x</a></div>'), (2, None)]
+    spark.createDataFrame(pages, "page_id long, html string").selectExpr("page_id", "'u' url", "html").write.parquet(str(tmp_path / "pages"))
+    read_pages.main(["--source", "avito", "--what", "links", "--limit", "5", "--pages", str(tmp_path / "pages"), "--out", str(tmp_path / "csv")])
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns in (["page_id", "pos", "link"], [])
+
+
 def test_jobs_end_to_end(spark, sf_dir, tmp_path):
     source, raw = str(tmp_path / "records"), str(tmp_path / "raw")
     listings = inputs.listing_a(spark, sf_dir).drop("ingest_ts")
@@ -95,8 +115,10 @@ def test_jobs_end_to_end(spark, sf_dir, tmp_path):
     silver = tables.scan(spark, "silver.listings_all")
     once = silver.count()
     assert 0 < once < listings.count()
-    build_silver.main([*parquet, "--source", "avito", "--raw-files", raw, "--mode", "overwrite", "--rebalance"])
+    build_silver.main([*parquet, "--source", "avito", "--raw-files", raw, "--mode", "merge", "--rebalance"])
     assert tables.scan(spark, "silver.listings_all").count() == once
+    with pytest.raises(SystemExit):
+        build_silver.main([*parquet, "--source", "avito", "--mode", "overwrite"])
     tables.drop_table(spark, "silver.listings_all")
 
     read_pages.main([

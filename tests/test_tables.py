@@ -65,6 +65,25 @@ def test_append_and_overwrite_days(spark, silver_table):
     assert tables.scan(spark, silver_table).columns == SILVER.names
 
 
+def test_merge_adds_what_is_new(spark, silver_table):
+    for mode in ("merge", "MERGE"):
+        tables.write_silver(rows(spark, 1, 2, 3), silver_table, mode, tables.PARQUET)
+        assert tables.scan(spark, silver_table).count() == 3
+    tables.write_silver(rows(spark, 1, 2, 4), silver_table, "merge", tables.PARQUET)
+    assert tables.scan(spark, silver_table).count() == 4
+    tables.write_silver(rows(spark, 1, site="other"), silver_table, "merge", tables.PARQUET)
+    assert tables.scan(spark, silver_table).count() == 5
+
+
+def test_overwriting_one_site_keeps_the_other(spark, silver_table):
+    write = lambda df, mode: tables.write_silver(df, silver_table, mode, tables.PARQUET)
+    write(rows(spark, 1, 2), "append")
+    write(rows(spark, 1, 1, 2, site="other"), "append")
+    write(rows(spark, 1, site="other"), "overwrite")
+    found = sorted((r.site, r.ingest_ts.day) for r in tables.scan(spark, silver_table).collect())
+    assert found == [("other", 1), ("other", 2), ("s", 1), ("s", 2)]
+
+
 def test_site_must_be_there(spark, silver_table):
     with pytest.raises(PySparkException):
         tables.write_silver(rows(spark, 1, site=None), silver_table, provider=tables.PARQUET)
