@@ -38,6 +38,9 @@ class Element:
     attributes: dict[str, str]
     parent: "Element | None" = None
     children: list["Element | str"] = field(default_factory=list)
+    place: int = 0
+    # Of a whole page: its elements by tag, by class (with a point before it) and all ('').
+    index: dict[str, list["Element"]] | None = None
 
     def below(self) -> Iterator["Element"]:
         """Elements inside this one, in page order."""
@@ -63,14 +66,18 @@ class Element:
 class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = self.open = Element("", {})
+        self.root = self.open = Element("", {}, index={"": []})
 
     def handle_starttag(self, tag, attrs):
         ends = _ENDS.get(tag, ())
         while self.open.tag in ends:
             self.open = self.open.parent
-        element = Element(tag, {k: v or "" for k, v in attrs}, self.open)
+        index = self.root.index
+        # Of an attribute given twice the first counts.
+        element = Element(tag, {k: v or "" for k, v in reversed(attrs)}, self.open, place=len(index[""]))
         self.open.children.append(element)
+        for key in {"", tag, *("." + name for name in element.attributes.get("class", "").split())}:
+            index.setdefault(key, []).append(element)
         if tag not in _EMPTY:
             self.open = element
 
@@ -104,6 +111,11 @@ class _Step:
     attribute: str | None
     part: str | None
 
+    @property
+    def key(self) -> str:
+        """Under which a page has the elements that may fit."""
+        return "." + min(self.classes) if self.classes else self.tag
+
     def fits(self, element: Element) -> bool:
         has = element.attributes
         return (
@@ -129,7 +141,11 @@ class Selector:
         return _Step(tag, frozenset(classes.split(".")[1:]), attribute, part)
 
     def all(self, root: Element) -> Iterator[Element]:
-        return (e for e in root.below() if any(self._leads_to(e, p) for p in self._paths))
+        """Matches below an element in page order; on a whole page only those are tried that end like a path."""
+        if root.index is None:
+            return (e for e in root.below() if any(self._leads_to(e, p) for p in self._paths))
+        found = {e.place: e for p in self._paths for e in root.index.get(p[-1].key, ()) if self._leads_to(e, p)}
+        return (found[place] for place in sorted(found))
 
     def first(self, root: Element) -> Element | None:
         return next(self.all(root), None)
