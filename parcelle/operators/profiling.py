@@ -15,6 +15,12 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"))
 
 
+def malformed_rows(raw: DataFrame) -> DataFrame:
+    """How many envelopes there are, and how many hold no readable JSON object."""
+    broken = F.json_object_keys("payload").isNull()
+    return raw.agg(F.count("*").alias("rows"), F.count_if(broken).alias("malformed"))
+
+
 def value_counts(df: DataFrame, *columns: str, top: int | None = None) -> DataFrame:
     """Rows per value, most frequent first; ties by value so that ``top`` is repeatable.
 

@@ -235,6 +235,13 @@ def raw_scan_count(spark, sf_dir):
     return profiling.row_count(I.raw_a(spark, sf_dir))
 
 
+@query(_with("listing_a") + """
+SELECT count(*) AS rows, count(*) FILTER (WHERE length(title) % 3 = 0) AS malformed FROM listing_a""")
+def malformed_count(spark, sf_dir):
+    cut = F.when(F.length(F.get_json_object("payload", "$.title")) % 3 == 0, F.substring("payload", 1, 40)).otherwise(c("payload"))
+    return profiling.malformed_rows(I.raw_a(spark, sf_dir).withColumn("payload", cut))
+
+
 @query(_with("listing_a") + "SELECT * FROM listing_a")
 def parse_payload_a(spark, sf_dir):
     return _comparable(_a(spark, sf_dir))

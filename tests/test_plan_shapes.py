@@ -69,7 +69,7 @@ def test_full_parse_comes_after_the_cut(spark, raw):
 
 def parsed_fields(plan):
     """Fields of each parse of a payload in a plan."""
-    found = re.findall(r"from_json\(((?:StructField\([^)]*\),?)+)", plan)
+    found = re.findall(r"from_json\(((?:StructField\([^)]*\),?\s*)+)", plan)
     return sorted(part.count("StructField(") for part in found)
 
 
