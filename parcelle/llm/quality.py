@@ -27,7 +27,10 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: are zero in most documents would otherwise have no spread at all.
 FEATURES = {"log_words": 1.0, "word_length": 0.8, "symbols": 0.045, "dup_lines": 0.25, "repeats": 0.2, "variety": 0.12, "letters": 0.08}
 KEEP_SHARE = 0.75
+#: Rows from which on a group has an estimate of its own; smaller ones take that of all sources of their language.
+LEAST_ROWS = 50
 STEPS = 3
+ALL = "\0all"
 #: Chance that a document of a normal group is rejected.
 TAIL = 1e-7
 
@@ -136,15 +139,15 @@ def _estimates(moments: DataFrame, keys: list[str], factor: float) -> DataFrame:
                 lower = np.linalg.cholesky(factor * spread + floor)
                 centres.append(mean)
                 shapes.append(np.linalg.inv(lower)[low])
-            yield pd.DataFrame({**{k: frame[k] for k in keys}, "centre": centres, "shape": shapes})
+            yield pd.DataFrame({**{k: frame[k] for k in keys}, "centre": centres, "shape": shapes, "n": frame["n"]})
 
-    schema = ", ".join([*(f"`{k}` string" for k in keys), "centre array<double>", "shape array<double>"])
+    schema = ", ".join([*(f"`{k}` string" for k in keys), "centre array<double>", "shape array<double>", "n long"])
     return moments.mapInPandas(solve, schema)
 
 
 def _with(rows: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with the estimate of their group; a missing language or source is a group too."""
-    right = small(estimates.select(*(F.col(k).alias(f"{k}_of") for k in keys), "centre", "shape"))
+    right = small(estimates.select(*(F.col(k).alias(f"{k}_of") for k in keys), "centre", "shape", *(["n"] if "n" in estimates.columns else [])))
     same = [F.col(k).eqNullSafe(F.col(f"{k}_of")) for k in keys]
     return rows.join(right, same, "left")
 
@@ -197,15 +200,22 @@ def quality_rules(
 
     ``kept`` is false where the fixed rules fail or where the squared distance from the robust
     estimate of the row's language and source is beyond the ``tail`` of the chi-squared
-    distribution. Only rows that pass the fixed rules shape the estimates. A missing or empty
-    text has no words and fails; a missing language or source is a group of its own; a row
-    alone in its group is its centre and kept; repeated rows each get a row. An empty table
+    distribution. Only rows that pass the fixed rules shape the estimates, and groups of few
+    rows take the estimate of their language. A missing or empty text has no words and fails; a
+    missing language or source is a group of its own; a row alone in its language is its centre
+    and kept; repeated rows each get a row. An empty table
     gives an empty result. Other columns are ignored.
     """
-    keys = [f"group_{i}" for i in range(len(groups))]
-    rows = cut(statistics(docs, key, text, groups))
-    estimates = robust_estimates(rows.where(~F.col("base_failed")), keys)
-    far = _with(rows, estimates, keys).withColumn("distance", _distance())
+    keys = ["group_of", *(f"group_{i}" for i in range(len(groups)))]
+    rows = cut(statistics(docs, key, text, groups)).withColumn("group_of", F.lit(""))
+    # Each row counts in its group and among all that share all but the last column of it.
+    both = rows.where(~F.col("base_failed")).withColumn(keys[-1], F.explode(F.array(F.col(keys[-1]), F.lit(ALL))))
+    estimates = robust_estimates(both, keys)
+    own = estimates.where((F.col("n") >= LEAST_ROWS) & ~F.col(keys[-1]).eqNullSafe(ALL))
+    wider = estimates.where(F.col(keys[-1]) == ALL).select(*(F.col(k).alias(f"wide_{k}") for k in keys[:-1]), F.col("centre").alias("wide_centre"), F.col("shape").alias("wide_shape"))
+    near = _with(rows, own, keys).join(small(wider), [F.col(k).eqNullSafe(F.col(f"wide_{k}")) for k in keys[:-1]] , "left")
+    chosen = near.withColumn("centre", F.coalesce("centre", "wide_centre")).withColumn("shape", F.coalesce("shape", "wide_shape"))
+    far = chosen.withColumn("distance", _distance())
     limit = chi2_quantile(len(FEATURES), 1 - tail)
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)
     return far.select(F.col("key").alias(key), *COUNTS, "base_failed", kept.alias("kept"), "distance")
