@@ -1,7 +1,8 @@
 """Seconds per named query over the tables in $BENCH_SF_DIR, as one JSON line.
 
 Each query runs to completion into a sink that discards rows, once to warm up and
-then $BENCH_RUNS times, of which the fastest counts.
+then $BENCH_RUNS times, of which the fastest counts. The files of the stream are put
+below $BENCH_DIR, or the machine's temporary folder; the bench runs on one machine.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def seconds(spark, query, sf_dir: str, runs: int) -> float:
 
 def stream_rate(spark, sf_dir: str) -> int:
     """Rows per second from record files to the raw folder."""
-    with tempfile.TemporaryDirectory(prefix="run-", dir="/tmp") as folder:
+    with tempfile.TemporaryDirectory(prefix="run-", dir=os.environ.get("BENCH_DIR")) as folder:
         events = inputs.table(spark, sf_dir, "events").selectExpr(
             "cast(event_id as string) id", "event_type", "props"
         )
