@@ -10,10 +10,10 @@ a conversation are folded, and tasks then write out their parts of the path.
 
 from __future__ import annotations
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from parcelle.llm.common import cut
 
@@ -81,82 +81,86 @@ def inserts(a: int, b: int) -> bool:
     return b == ASSISTANT and a in (START, SYSTEM)
 
 
-def _fragments(rows: DataFrame, finish, schema: str) -> DataFrame:
-    """``finish`` over each run of rows with one conversation in a task; rows are (conv, part, id, state, ...extra)."""
+def _runs(rows: DataFrame, keys: int, finish, schema: str) -> DataFrame:
+    """Rows that ``finish`` makes of each run of rows with equal first ``keys`` columns; it gets the run's columns.
+
+    Runs come from sorted tasks, so equal keys are next to each other; what is made of the
+    runs that end in a batch leaves the task together.
+    """
+    types = rows.sparkSession.createDataFrame([], schema).schema
+    names, kinds = types.names, [to_arrow_type(f.dataType) for f in types]
+
     def run(batches):
-        now, head, ids, given = None, None, [], []
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for conv, part, turn, state, *more in zip(*columns):
-                if now != (conv, part):
-                    if ids:
-                        yield finish(now, ids, given, head)
-                    now, head, ids, given = (conv, part), more, [], []
-                ids.append(turn)
-                given.append(state)
-        if ids:
-            yield finish(now, ids, given, head)
-    return rows.mapInArrow(run, schema)
+        now, held, made = None, [], []
 
+        def batch_of(found: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([row[k] for row in found], kind) for k, kind in enumerate(kinds)], names)
 
-def _one(names: str, conv: str | None, *values) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([conv], pa.string()), *(pa.array([v]) for v in values)], names.split())
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:keys] != now:
+                    if held:
+                        made += finish(list(zip(*held)))
+                    now, held = row[:keys], []
+                held.append(row)
+            if made:
+                yield batch_of(made)
+                made = []
+        if held:
+            yield batch_of(finish(list(zip(*held))))
+    return rows.mapInArrow(run, schema)
 
 
-def _matrix(now, ids, given, head) -> pa.RecordBatch:
+def _matrix(run: list[tuple]) -> list[tuple]:
+    """A fragment (conv, part, id, state) as its costs from each state to each state."""
+    conv, part, _, given = run
     total = STEPS[given[0]]
     for g in given[1:]:
         total = times(total, STEPS[g])
-    return _one("conv part costs", *now, [c for row in total for c in row])
+    return [(conv[0], part[0], [c for row in total for c in row])]
 
 
-def _backward(now, ids, given, head) -> pa.RecordBatch:
-    """For each last state the first one of the best path, and the turns it starts."""
-    back = forward(head[0], given)
-    ways = [path(back, q) for q in range(4)]
-    return _one("conv part firsts turns", *now, [w[0] for w in ways], [new_turns(w) for w in ways])
-
-
-def _decide(now, ids, given, head) -> pa.RecordBatch:
-    costs, last, turn, ends = head
-    states = path(forward(costs, given), last)
-    out: dict[str, list] = {n: [] for n in ("id", "state", "action", "insert", "turn", "final")}
-    for i, (a, b, g) in enumerate(zip(states, states[1:], given)):
-        merged = a == b
-        turn += (not merged) + inserts(a, b)
-        out["id"].append(ids[i])
-        out["state"].append(b)
-        out["action"].append(" ".join(["relabel"] * (b != g) + ["merge"] * merged) or "keep")
-        out["insert"].append(inserts(a, b))
-        out["turn"].append(turn)
-        out["final"].append(ends and i == len(given) - 1)
-    return pa.RecordBatch.from_pydict(out, schema=pa.schema([
-        ("id", pa.int64()), ("state", pa.int64()), ("action", pa.string()), ("insert", pa.bool_()), ("turn", pa.int64()), ("final", pa.bool_())]))
-
-
-def _entries(frame: pd.DataFrame) -> pd.DataFrame:
-    """Costs on entry to each fragment of one conversation, and its best last state."""
-    frame = frame.sort_values("part")
+def _entries(run: list[tuple]) -> list[tuple]:
+    """Costs on entry to each fragment of a conversation (conv, part, costs), and its best last state."""
+    conv, parts, matrices = run
     costs, entries = [0, NEVER, NEVER, NEVER], []
-    for flat in frame["costs"]:
+    for flat in matrices:
         entries.append(costs)
-        costs = [min(min(costs[s] + int(flat[4 * s + q]) for s in range(4)), NEVER) for q in range(4)]
+        costs = [min(min(costs[s] + flat[4 * s + q] for s in range(4)), NEVER) for q in range(4)]
     end = min(range(1, 4), key=lambda q: (costs[q] + END[q], q))
-    return pd.DataFrame({"conv": frame["conv"], "part": frame["part"], "entry": entries, "end": end})
+    return [(c, p, entry, end) for c, p, entry in zip(conv, parts, entries)]
 
 
-def _exits(frame: pd.DataFrame) -> pd.DataFrame:
-    """Last state of each fragment of one conversation and the turns before it."""
-    frame = frame.sort_values("part")
-    last, exits, counts = int(frame["end"].iloc[0]), [], []
-    for firsts, turns in zip(reversed(frame["firsts"].tolist()), reversed(frame["turns"].tolist())):
-        exits.append(last)
-        counts.append(int(turns[last]))
-        last = int(firsts[last])
-    exits, counts = exits[::-1], counts[::-1]
-    before = [sum(counts[:i]) - 1 for i in range(len(counts))]
-    return pd.DataFrame({
-        "conv": frame["conv"], "part": frame["part"], "exit": exits, "before": before, "ends": [i == len(exits) - 1 for i in range(len(exits))]})
+def _backward(run: list[tuple]) -> list[tuple]:
+    """For each last state of a fragment (conv, part, id, state, entry, end) the first one of the best path, and the turns it starts."""
+    conv, part, _, given, entry, end = run
+    back = forward(entry[0], given)
+    ways = [path(back, q) for q in range(4)]
+    return [(conv[0], part[0], [w[0] for w in ways], [new_turns(w) for w in ways], entry[0], end[0])]
+
+
+def _exits(run: list[tuple]) -> list[tuple]:
+    """Last state of each fragment of a conversation, the turns before it, and whether it is the last."""
+    conv, parts, firsts, turns, entries, ends = run
+    last, found = ends[0], []
+    for k in reversed(range(len(parts))):
+        found.append((conv[k], parts[k], entries[k], last, turns[k][last], k == len(parts) - 1))
+        last = firsts[k][last]
+    out, before = [], -1
+    for c, p, entry, exit_state, count, final in reversed(found):
+        out.append((c, p, entry, exit_state, before, final))
+        before += count
+    return out
+
+
+def _decide(run: list[tuple]) -> list[tuple]:
+    _, _, ids, given, entries, exits, befores, finals = run
+    states, turn, out = path(forward(entries[0], given), exits[0]), befores[0], []
+    for k, (a, b, g) in enumerate(zip(states, states[1:], given)):
+        turn += (a != b) + inserts(a, b)
+        action = " ".join(["relabel"] * (b != g) + ["merge"] * (a == b)) or "keep"
+        out.append((ids[k], b, action, inserts(a, b), turn, finals[0] and k == len(given) - 1))
+    return out
 
 
 def repair_chats(turns: DataFrame) -> DataFrame:
@@ -166,7 +170,7 @@ def repair_chats(turns: DataFrame) -> DataFrame:
     (its order among rows), ``role``, ``text``, ``action`` (keep, relabel, merge, relabel merge)
     and ``rendered``. A merged row belongs to the turn of the row before, and an inserted empty
     turn is a row with action ``insert``. ``rendered`` in the order of ``out_turn``, ``place`` is
-    the chat. Rows of equal turn are ordered by role and text; a missing turn comes first, a
+    the chat. Rows of equal turn are ordered by role and a hash of the text; a missing turn comes first, a
     missing conversation id is a conversation, a missing or unknown role is given one, a
     missing text is empty. Marks of the template inside a text are broken by a blank. An empty
     table gives an empty result; other columns are ignored.
@@ -186,22 +190,23 @@ def repair_chats(turns: DataFrame) -> DataFrame:
     )
     rows = cut(sorted_rows)
     narrow = rows.select("conv", "part", "id", "state")
-    costs = _fragments(narrow, _matrix, "conv string, part long, costs array<long>")
-    entries = cut(costs.groupBy("conv").applyInPandas(_entries, "conv string, part long, entry array<long>, end long"))
+
+    def by_conversation(fragments: DataFrame) -> DataFrame:
+        # A conversation has a row for each task of the sort at most.
+        return fragments.repartition(parts, "conv").sortWithinPartitions("conv", "part")
 
     def with_fragment(more: DataFrame, *names: str) -> DataFrame:
-        same = [F.col("conv").eqNullSafe(F.col("of_conv")), F.col("part") == F.col("of_part")]
         right = more.select(F.col("conv").alias("of_conv"), F.col("part").alias("of_part"), *names)
+        same = [F.col("conv").eqNullSafe(F.col("of_conv")), F.col("part") == F.col("of_part")]
         joined = narrow.join(right, same).select("conv", "part", "id", "state", *names)
-        # Fragments meet again in one task and in order; a fragment is what one task sorted before.
+        # A fragment is what one task sorted before; it meets again in one task, in order.
         return joined.repartition(parts, "part").sortWithinPartitions("part", "id")
 
-    back = _fragments(with_fragment(entries, "entry"), _backward, "conv string, part long, firsts array<long>, turns array<long>")
-    ways = back.join(entries.select(F.col("conv").alias("c"), F.col("part").alias("p"), "end", "entry"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
-    exits = ways.select("conv", "part", "firsts", "turns", "end").groupBy("conv").applyInPandas(_exits, "conv string, part long, exit long, before long, ends boolean")
-    known = cut(exits.join(entries.select(F.col("conv").alias("c"), F.col("part").alias("p"), "entry"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).drop("c", "p"))
-    decided = _fragments(
-        with_fragment(known, "entry", "exit", "before", "ends"), _decide, "id long, state long, action string, insert boolean, turn long, final boolean")
+    costs = _runs(narrow, 2, _matrix, "conv string, part long, costs array<long>")
+    entries = cut(_runs(by_conversation(costs), 1, _entries, "conv string, part long, entry array<long>, end long"))
+    ways = _runs(with_fragment(entries, "entry", "end"), 2, _backward, "conv string, part long, firsts array<long>, turns array<long>, entry array<long>, end long")
+    exits = cut(_runs(by_conversation(ways), 1, _exits, "conv string, part long, entry array<long>, exit long, before long, ends boolean"))
+    decided = _runs(with_fragment(exits, "entry", "exit", "before", "ends"), 2, _decide, "id long, state long, action string, insert boolean, turn long, final boolean")
 
     name = F.element_at(F.array(*map(F.lit, ROLES)), F.col("now").cast("int"))
     safe = F.replace("text", F.lit("<|im_"), F.lit("<| im_"))
