@@ -44,18 +44,27 @@ def word_hash(word: bytes) -> int:
 
 
 def facts(word: bytes) -> tuple:
-    """Hash of a word and its class by ending."""
-    return np.uint64(word_hash(word)), OWN_CLASSES + xxhash.xxh3_64_intdigest(word.rstrip(b".,;:!?")[-2:]) % END_CLASSES
+    """Hash of a word, its class by ending, and its rows of the weights as the last word and as the one before that."""
+    value = word_hash(word)
+    ending = OWN_CLASSES + xxhash.xxh3_64_intdigest(word.rstrip(b".,;:!?")[-2:]) % END_CLASSES
+    return np.uint64(value), ending, value >> (64 - FEATURE_BITS), xxhash.xxh3_64_intdigest(word, 1) >> (64 - FEATURE_BITS)
 
 
-_TABLE = Words(facts, [np.uint64, np.int32])
+_TABLE = Words(facts, [np.uint64, np.int32, np.int32, np.int32])
 
 
 def columns() -> list[np.ndarray]:
-    """Hashes and classes by ending of the words that this worker has read."""
+    """What :func:`facts` gives for the words that this worker has read."""
     return _TABLE.columns
 
 
+def counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers among many small ones, and how often each is there."""
+    n = np.bincount(rows)
+    found = np.flatnonzero(n)
+    return found, n[found]
+
+
 def read_words(raw: list[bytes], ends_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the word table for all texts one after the other, where each text starts, and its tokens.
 
@@ -96,7 +105,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             rows, _, _ = read_words(raw_texts(batch.column(0)), ends_only=True)
             if len(rows):
-                found, n = np.unique(rows, return_counts=True)
+                found, n = counted(rows)
                 hashes.append(columns()[0][found])
                 endings.append(columns()[1][found])
                 counts.append(n)
@@ -110,6 +119,19 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word long, ending long, n long").groupBy("word").agg(F.first("ending").alias("ending"), F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Words of the highest counts, ``most`` of them at most: all that have more than some count."""
+    steps = counts.groupBy(F.floor(8 * F.log2("n")).alias("step")).agg(F.count("*").alias("words"))
+    taken, least = 0, None
+    for step, words in steps.orderBy(F.desc("step")).collect():  # eight rows for each doubling of the largest count
+        taken += words
+        if taken > most:
+            break
+        least = step
+    rows = counts.select("word", "n")
+    return rows.limit(0) if least is None else rows.where(F.floor(8 * F.log2("n")) >= least)
+
+
 class Model:
     """Classes and weights, of a fixed size; what tasks need to train and to score."""
 
@@ -130,29 +152,56 @@ class Model:
         return out
 
 
-def features(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Rows of the weights for the tokens at the places ``at`` of a sequence in which starts stand before each text."""
-    last, before = hashes[at - 1], hashes[at - 2]
-    keys = (last, mixed(last * np.uint64(3) + before), before ^ np.uint64(0x5DEECE66D))
-    return np.stack([(mixed(k) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64) for k in keys], axis=1)
+    def classes_of(self, rows: np.ndarray) -> np.ndarray:
+        """Classes of rows of the word table."""
+        hashes, endings, *_ = columns()
+        present, _ = counted(rows)
+        of_row = np.zeros(len(hashes), np.int32)
+        of_row[present] = self.classes(hashes[present], endings[present])
+        return of_row[rows]
+
+
+def features(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of the weights, feature by feature, for the tokens at the places ``at`` of a sequence of rows of the word table.
+
+    Two starts stand before each text.
+    """
+    hashes, _, as_last, as_before = columns()
+    last, before = words[at - 1], words[at - 2]
+    both = mixed(hashes[last] * np.uint64(3) + hashes[before]) >> np.uint64(64 - FEATURE_BITS)
+    return np.stack([as_last[last], both.astype(np.int32), as_before[before]])
+
+
+def logits(model: Model, rows: np.ndarray) -> np.ndarray:
+    """Of each token the logits of its classes, the largest of them 0."""
+    total = model.weights[rows[0]]
+    for more in rows[1:]:
+        total += model.weights[more]
+    total += model.prior
+    total -= total.max(axis=1, keepdims=True)
+    return total
 
 
-def log_softmax(model: Model, rows: np.ndarray) -> np.ndarray:
-    logits = model.weights[rows[:, 0]] + model.prior
-    for k in range(1, FEATURES):
-        logits += model.weights[rows[:, k]]
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def log_chances(model: Model, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of each token's class."""
+    total = logits(model, rows)
+    own = total[np.arange(len(classes)), classes]
+    return own - np.log(np.exp(total, out=total).sum(axis=1))
 
 
 def step(model: Model, rows: np.ndarray, classes: np.ndarray) -> None:
     """One gradient step over a batch of tokens, each row at a rate that falls with its past gradients."""
-    gradient = np.exp(log_softmax(model, rows))
-    gradient[np.arange(len(rows)), classes] -= 1
+    gradient = logits(model, rows)
+    np.exp(gradient, out=gradient)
+    gradient /= gradient.sum(axis=1, keepdims=True)
+    n = len(classes)
+    gradient[np.arange(n), classes] -= 1
     flat = rows.ravel()
     order = np.argsort(flat, kind="stable")
-    touched, first = np.unique(flat[order], return_index=True)
-    sums = np.add.reduceat(gradient[order // FEATURES], first, axis=0)
+    ordered = flat[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    touched = ordered[first]
+    sums = np.add.reduceat(gradient[order % n], first, axis=0)
     model.squares[touched] += np.square(sums).sum(axis=1)
     model.weights[touched] -= RATE * sums / np.sqrt(model.squares[touched] + 1)[:, None]
 
@@ -174,12 +223,11 @@ def train(texts: DataFrame, model: Model) -> Model:
             rows, starts, sizes = read_words(raw_texts(batch.column(0)))
             if not len(sizes):
                 continue
-            hashes = columns()[0][rows]
-            classes = own.classes(hashes, columns()[1][rows])
+            classes = own.classes_of(rows)
             at = _places(starts, sizes)
             for k in range(0, len(at), BATCH):
                 part = at[k:k + BATCH]
-                step(own, features(hashes, part), classes[part])
+                step(own, features(rows, part), classes[part])
             seen += len(at)
         if seen:
             change = np.concatenate([own.weights - model.weights, (own.squares - model.squares)[:, None]], axis=1)
@@ -199,6 +247,8 @@ def train(texts: DataFrame, model: Model) -> Model:
                 ["block", "seen", "change"])
 
     schema = "block long, seen long, change binary"
+    # As many tasks as the cluster can run a few times over: each sends a change of the size of the weights.
+    texts = texts.coalesce(3 * texts.sparkSession.sparkContext.defaultParallelism)
     # The sums of a block pass through one task as a stream; there are as many rows as the weights have blocks.
     changes = texts.mapInArrow(learn, schema).repartition(max(1, (1 << FEATURE_BITS) // _ROWS_SENT), "block").mapInArrow(average, schema)
     for block, _, change in changes.collect():
@@ -221,7 +271,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds
     learned = rows.where("NOT held_out")
     counts = cut(word_counts(learned.select("text")))
     tokens, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    known = counts.orderBy(F.desc("n"), "word").limit(frequent).select("word", "n").toPandas()  # of a fixed size
+    known = most_frequent(counts, frequent).toPandas().sort_values(["n", "word"], ascending=[False, True])  # of a fixed size
     own = known["word"].head(OWN_CLASSES).tolist()
     of_ending = counts.where(~F.col("word").isin(own)).groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("types"))
     totals, types = np.zeros(CLASSES), np.ones(CLASSES)
@@ -242,18 +292,20 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds
     def run(batches):
         for batch in batches:
             found, starts, sizes = read_words(raw_texts(batch.column(2)))
-            hashes = columns()[0][found]
-            classes = model.classes(hashes, columns()[1][found])
+            classes = model.classes_of(found)
             at = _places(starts, sizes)
             logs = np.empty(len(at))
             for k in range(0, len(at), BATCH):
                 place = at[k:k + BATCH]
-                by_class = log_softmax(model, features(hashes, place))
-                logs[k:k + BATCH] = by_class[np.arange(len(place)), classes[place]] / np.log(10) - inside_logs[classes[place]]
-            signed = hashes[at].view(np.int64)
-            near = np.minimum(np.searchsorted(frequent_words, signed), max(0, len(frequent_words) - 1))
-            is_known = frequent_words[near] == signed if len(frequent_words) else np.zeros(len(at), bool)
-            words = np.where(is_known, frequent_logs[near] if len(frequent_words) else 0.0, 0.0)
+                logs[k:k + BATCH] = log_chances(model, features(found, place), classes[place]) / np.log(10) - inside_logs[classes[place]]
+            hashes = columns()[0].view(np.int64)
+            known_row, log_row = np.zeros(len(hashes), bool), np.zeros(len(hashes))
+            if len(frequent_words):
+                present, _ = counted(found)
+                near = np.minimum(np.searchsorted(frequent_words, hashes[present]), len(frequent_words) - 1)
+                known_row[present] = frequent_words[near] == hashes[present]
+                log_row[present] = np.where(known_row[present], frequent_logs[near], 0.0)
+            signed, is_known, words = hashes[found[at]], known_row[found[at]], log_row[found[at]]
             first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
             text_of = np.repeat(np.arange(len(sizes)), sizes)[~is_known]
             rare = signed[~is_known]
