@@ -2,10 +2,11 @@
 
 Pieces are placed class by class, from long to short. In a round, documents and gaps are
 sorted by size together and a sweep from large to small gives each document the smallest gap
-that still holds it, as closing brackets match open ones. No task sees the whole order: with
-the ranks of rows of equal size, a row's bracket level follows from counts per size, and
-brackets that match meet on their level. Rows of equal size are ranked in parts, so that one
-frequent size is spread over tasks. What no gap holds opens new sequences.
+that still holds it, as closing brackets match open ones. No task sees the whole order: each
+sums up its own part of it, a row's bracket level follows from that and from the sums of the
+tasks before, and brackets that match meet on their level. Rows of equal size are told apart
+by their numbers, so that one frequent size is spread over tasks. What no gap holds opens new
+sequences.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.llm.common import cut, documents, raw_texts
@@ -26,6 +28,8 @@ END = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Sizes are dealt with from one of these parts of a sequence down to the next.
 PARTS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128)
+#: Rows (three numbers each) that a task of a round sorts; rounds have as many tasks as the pieces need.
+ROWS_OF_A_TASK = 50_000
 _MOST_WORDS = 1_200_000
 
 
@@ -107,57 +111,72 @@ def token_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", token
     return rows.mapInArrow(run, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def _ranked(rows: DataFrame, by: list[str], order: list[Column], change: Column) -> DataFrame:
-    """Rows (size, id, ...) with ``rank`` among those equal in ``by`` and ``before``, the sum of ``change`` over all that precede these.
-
-    ``by`` takes no more values than there are sizes (and kinds), so what is summed up or
-    broadcast here has a fixed bound. Equal rows are numbered in parts that are added up.
-    """
-    parts = max(16, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
-    counts = dealt.groupBy(*by, "part").agg(F.count("*").alias("n"))
-    totals = counts.groupBy(*by).agg(F.sum("n").alias("n"))
-    before = totals.select(*by, (F.sum(change).over(Window.orderBy(*order)) - change).alias("before"))
-    offsets = counts.select(*by, "part", (F.sum("n").over(Window.partitionBy(*by).orderBy("part")) - F.col("n")).alias("skipped"))
-    numbered = dealt.withColumn("number", F.row_number().over(Window.partitionBy(*by, "part").orderBy("id")))
-    return (
-        numbered.join(offsets, [*by, "part"]).join(F.broadcast(before), by)
-        .withColumn("rank", F.col("number") + F.col("skipped")).drop("number", "skipped", "part")
-    )
+def _summed(batches):
+    """Events in order, with the sum of gaps (1) and items (-1) so far in this task and the task's place in the order."""
+    part, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        if batch.num_rows:
+            inside = before + np.cumsum(1 - 2 * batch.column(2).to_numpy().astype(np.int64))
+            before = int(inside[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(inside), pa.array(np.full(batch.num_rows, part), pa.int64())], ["id", "size", "kind", "inside", "part"])
 
 
-def sweep(items: DataFrame, gaps: DataFrame) -> DataFrame:
+def sweep(items: DataFrame, gaps: DataFrame, tasks: int = 1) -> DataFrame:
     """Items (id, size) matched with gaps (id, size), each with one at most: the smallest that holds it, large items first.
 
-    All rows with ``kind`` (0 a gap, 1 an item) and, where matched, ``other`` and ``other_size``.
+    All rows with ``kind`` (0 a gap, 1 an item), ``level`` and, where matched, ``other`` and
+    ``other_size``. The items that no gap holds are on the levels 0, -1, -2, ... in order of size.
     """
+    order = [F.desc("size"), F.col("kind"), F.col("id")]
     events = gaps.select("id", "size", F.lit(0).alias("kind")).unionByName(items.select("id", "size", F.lit(1).alias("kind")))
-    ranked = _ranked(events, ["size", "kind"], [F.desc("size"), F.col("kind")], F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n")))
-    level = F.when(F.col("kind") == 0, F.col("before") + F.col("rank")).otherwise(F.col("before") - F.col("rank") + 1)
-    # Rows of one size and kind are on different levels, so a level has two rows for each size at most.
+    ordered = events.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    summed = cut(ordered.mapInArrow(_summed, "id long, size long, kind int, inside long, part long"))
+    # A row for each task of the sort; what is before a task is the sum of those before it.
+    tasks = summed.groupBy("part").agg(F.sum(1 - 2 * F.col("kind")).alias("own"))
+    before = tasks.select("part", (F.sum("own").over(Window.orderBy("part")) - F.col("own")).alias("before"))
+    placed = summed.join(F.broadcast(before), "part").withColumn("level", F.col("before") + F.col("inside") + F.col("kind"))
+    # From one size and kind a level has one row at most, so it has two for each size.
     there = Window.partitionBy("level").orderBy(F.desc("size"), "kind")
-    seen = ranked.withColumn("level", level).select(
-        "id", "size", "kind", *(F.lag(c).over(there).alias(f"last_{c}") for c in ("id", "size", "kind")),
+    seen = placed.select(
+        "id", "size", "kind", "level", *(F.lag(c).over(there).alias(f"last_{c}") for c in ("id", "size", "kind")),
         *(F.lead(c).over(there).alias(f"next_{c}") for c in ("id", "size", "kind")),
     )
     taken = (F.col("kind") == 1) & (F.col("last_kind") == 0)
     given = (F.col("kind") == 0) & (F.col("next_kind") == 1)
     other = [F.when(taken, F.col(f"last_{c}")).when(given, F.col(f"next_{c}")).alias(name) for c, name in (("id", "other"), ("size", "other_size"))]
-    return seen.select("id", "size", "kind", *other)
+    return seen.select("id", "size", "kind", "level", *other)
 
 
 def opened(items: DataFrame, most: int, capacity: int) -> DataFrame:
-    """Items (id, size) put into new sequences, ``most`` to each, in order of size: ``bin``, ``offset`` and the ``gap`` left."""
-    ranked = _ranked(items, ["size"], [F.desc("size")], F.col("n"))
-    place = ranked.withColumn("place", F.col("before") + F.col("rank") - 1).withColumn("group", F.floor(F.col("place") / most))
+    """Unmatched items (id, size, level) put into new sequences, ``most`` to each, in order of size: ``bin``, ``offset``, ``gap``."""
     group = Window.partitionBy("group")
-    return place.select(
-        "id", F.first("id").over(group.orderBy("place")).alias("bin"),
-        (F.sum("size").over(group.orderBy("place")) - F.col("size")).alias("offset"),
+    ordered = group.orderBy(F.desc("level"))
+    return items.withColumn("group", F.floor(-F.col("level") / most)).select(
+        "id", F.first("id").over(ordered).alias("bin"), (F.sum("size").over(ordered) - F.col("size")).alias("offset"),
         (capacity - F.sum("size").over(group)).alias("gap"),
     )
 
 
+def one_round(items: DataFrame, gaps: DataFrame, most: int, capacity: int, tasks: int = 1) -> DataFrame:
+    """What a sweep and the opening of sequences for the rest lead to.
+
+    For each item a row with its ``id``, ``bin`` and ``offset``. ``open`` and ``gap`` of a row are a
+    sequence and what is left of it after the round; a gap that got nothing has a row without item.
+    """
+    swept = sweep(items, gaps, tasks)
+    is_item, matched = F.col("kind") == 1, F.col("other").isNotNull()
+    placed = swept.where(is_item & matched).select(
+        "id", F.col("other").alias("bin"), (capacity - F.col("other_size")).alias("offset"),
+        F.col("other").alias("open"), (F.col("other_size") - F.col("size")).alias("gap"))
+    kept = swept.where(~is_item & ~matched).select(
+        F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("bin"), F.lit(None).cast("long").alias("offset"),
+        F.col("id").alias("open"), F.col("size").alias("gap"))
+    fresh = opened(swept.where(is_item & ~matched), most, capacity)
+    begun = fresh.select("id", "bin", "offset", F.when(F.col("offset") == 0, F.col("bin")).alias("open"), "gap")
+    return cut(placed.unionByName(kept).unionByName(begun).coalesce(tasks))
+
+
 def best_fit(pieces: DataFrame, capacity: int = CAPACITY, parts: tuple = PARTS) -> DataFrame:
     """``id``, ``sequence_id`` and ``offset`` of pieces (id, size), sizes from 1 to ``capacity``; ids must differ.
 
@@ -165,28 +184,18 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY, parts: tuple = PARTS)
     gaps that can hold its least; what is left opens sequences, as many to each as fit.
     """
     pieces = pieces.select("id", "size")
+    tasks = max(1, -(-pieces.count() // ROWS_OF_A_TASK))
     large = pieces.where(F.col("size") > capacity // 2)
-    placed = [large.select("id", F.col("id").alias("bin"), F.lit(0).cast("long").alias("offset"))]
+    placed = large.select("id", F.col("id").alias("bin"), F.lit(0).cast("long").alias("offset"))
     gaps = large.select("id", (capacity - F.col("size")).alias("size"))
     limits = [capacity // p for p in parts if p <= capacity]
     for most, least in pairwise([*dict.fromkeys(limits), 0]):
         items = pieces.where((F.col("size") <= most) & (F.col("size") > least))
-        swept = cut(sweep(items, gaps.where(F.col("size") > least)))
-        matched = F.col("other").isNotNull()
-        placed.append(swept.where((F.col("kind") == 1) & matched).select("id", F.col("other").alias("bin"), (capacity - F.col("other_size")).alias("offset")))
-        fresh = cut(opened(swept.where((F.col("kind") == 1) & ~matched), capacity // most, capacity))
-        placed.append(fresh.select("id", "bin", "offset"))
-        left = F.when(matched, F.col("size") - F.col("other_size")).otherwise(F.col("size"))
-        gaps = (
-            gaps.where(F.col("size") <= least)
-            .unionByName(swept.where("kind = 0").select("id", left.alias("size")))
-            .unionByName(fresh.where("offset = 0").select(F.col("bin").alias("id"), F.col("gap").alias("size")))
-            .where("size > 0")
-        )
-    out = placed[0]
-    for more in placed[1:]:
-        out = out.unionByName(more)
-    return out.withColumnRenamed("bin", "sequence_id")
+        done = one_round(items, gaps.where(F.col("size") > least), capacity // most, capacity, tasks)
+        placed = placed.unionByName(done.where("id IS NOT NULL").select("id", "bin", "offset"))
+        left = done.where("open IS NOT NULL AND gap > 0").select(F.col("open").alias("id"), F.col("gap").alias("size"))
+        gaps = gaps.where(F.col("size") <= least).unionByName(left)
+    return placed.withColumnRenamed("bin", "sequence_id")
 
 
 def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, end: int = END, capacity: int = CAPACITY) -> DataFrame:
