@@ -102,7 +102,11 @@ def memberships(classes: DataFrame, coordinates: int = COORDINATES, least: int =
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """``cls``, ``signature`` and ``shingles`` (bytes) of the wanted classes (cls, key), from a second reading of their documents."""
+    """``cls``, ``signature`` and ``shingles`` (bytes) of the wanted classes (cls, key), from a second reading of their documents.
+
+    One row for each class, however many documents pass: copies fall away inside batches, then
+    before the shuffle and after it.
+    """
     hashed = wanted.select(F.xxhash64("key").alias("hash"))
     known = np.packbits(bitmap_of(hashed), bitorder="little")  # of a fixed size; lets some others through
     mask = (1 << BITMAP_BITS) - 1
@@ -115,14 +119,16 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> Dat
             batch = batch.take(pa.array(np.flatnonzero((known[low >> 3] >> (low & 7).astype(np.uint8)) & 1)))
             if batch.num_rows:
                 sets = [s for s in (shingle_set(table, raw) for raw in raw_texts(batch.column(1))) if len(s)]
+                by_class = {_digest(s): s for s in sets}
+                sets = by_class.values()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([signature(s).astype(np.uint32).tobytes() for s in sets], pa.binary()),
+                    [pa.array(list(by_class), pa.binary()), pa.array([signature(s).astype(np.uint32).tobytes() for s in sets], pa.binary()),
                      pa.array([s.tobytes() for s in sets], pa.binary())],
                     ["cls", "signature", "shingles"],
                 )
 
     found = rows.mapInArrow(run, "cls binary, signature binary, shingles binary")
-    return cut(found.join(wanted.select("cls"), "cls", "left_semi"))
+    return cut(found.dropDuplicates(["cls"]).join(wanted.select("cls"), "cls", "left_semi"))
 
 
 def links_of(ids: list[bytes], sides: np.ndarray, signatures: np.ndarray, sets: list[np.ndarray], similarity: int, least: int) -> list[tuple]:
@@ -130,9 +136,6 @@ def links_of(ids: list[bytes], sides: np.ndarray, signatures: np.ndarray, sets:
     n = len(ids)
     sizes = np.array([len(s) for s in sets])
     label = np.arange(n)
-    for later in range(1, n):  # repeated rows are one class
-        if ids[later] == ids[later - 1]:
-            label[later] = label[later - 1]
     across = sides.min() != sides.max()
     starts = np.concatenate([[0], np.cumsum(sizes)])
     at = mark = None

@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from parcelle.llm.near_dedup import near_duplicates, without_duplicates
+from parcelle.llm.near_dedup import near_duplicates, shingle_sets, sketches, without_duplicates
 
 
 def shingles(text):
@@ -70,3 +70,12 @@ def test_given_documents(spark, sf_dir):
     kept = without_duplicates(df)
     assert kept.columns == df.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, (_, _, k) in found.items() if k)
+
+
+def test_sets_are_one_row_for_each_class(spark):
+    texts = ["a b c d e f g", "a b c d e f h", "k l m n o p q"]
+    rows = [(k % 40, texts[0]) for k in range(400)] + [(50, texts[1])] * 300 + [(60, texts[2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    wanted = sketches(df).where("key < 60").select("cls", "key")
+    classes = [bytes(r["cls"]) for r in shingle_sets(df, wanted, "doc_id", "text").collect()]
+    assert len(classes) == 2 and set(classes) == {bytes(r["cls"]) for r in wanted.distinct().collect()}
