@@ -1,19 +1,20 @@
-"""Packing documents into token sequences by bulk-synchronous best fit.
-
-Pieces are placed class by class, from long to short. In a round, documents and gaps are
-sorted by size together and a sweep from large to small gives each document the smallest gap
-that still holds it, as closing brackets match open ones. No task sees the whole order: each
-sums up its own part of it, a row's bracket level follows from that and from the sums of the
-tasks before, and brackets that match meet on their level. Rows of equal size are told apart
-by their numbers, so that one frequent size is spread over tasks. What no gap holds opens new
-sequences.
+"""Packing documents into token sequences by best fit, long pieces first.
+
+Pieces go by size from long to short, each into the smallest gap that still holds it; a gap
+takes pieces of a size until it holds no more, and only what no gap holds opens new sequences.
+Which piece of a size goes where does not matter, so the rule is worked out on counts: how many
+pieces have each size, and runs of sequences with one history and so with one gap. Neither is
+larger than the capacity allows, whatever the table. Each piece then finds its place by its
+number among those of its size; these numbers follow from a range-sort and sums over its tasks,
+so that one frequent size is spread over tasks.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
-from itertools import pairwise
+from bisect import bisect_left, insort
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,7 @@ from parcelle.llm.common import cut, documents, raw_texts
 CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Sizes are dealt with from one of these parts of a sequence down to the next.
-PARTS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128)
-#: Rows (three numbers each) that a task of a round sorts; rounds have as many tasks as the pieces need.
+#: Rows (two numbers each) that a task of the sort takes; it has as many tasks as the pieces need.
 ROWS_OF_A_TASK = 50_000
 _MOST_WORDS = 1_200_000
 
@@ -125,6 +124,7 @@ def _summed(batches):
 def sweep(items: DataFrame, gaps: DataFrame, tasks: int = 1) -> DataFrame:
     """Items (id, size) matched with gaps (id, size), each with one at most: the smallest that holds it, large items first.
 
+    One step of the rule on rows, where :func:`plan` works on counts; the packing needs it no more.
     All rows with ``kind`` (0 a gap, 1 an item), ``level`` and, where matched, ``other`` and
     ``other_size``. The items that no gap holds are on the levels 0, -1, -2, ... in order of size.
     """
@@ -148,54 +148,101 @@ def sweep(items: DataFrame, gaps: DataFrame, tasks: int = 1) -> DataFrame:
     return seen.select("id", "size", "kind", "level", *other)
 
 
-def opened(items: DataFrame, most: int, capacity: int) -> DataFrame:
-    """Unmatched items (id, size, level) put into new sequences, ``most`` to each, in order of size: ``bin``, ``offset``, ``gap``."""
-    group = Window.partitionBy("group")
-    ordered = group.orderBy(F.desc("level"))
-    return items.withColumn("group", F.floor(-F.col("level") / most)).select(
-        "id", F.first("id").over(ordered).alias("bin"), (F.sum("size").over(ordered) - F.col("size")).alias("offset"),
-        (capacity - F.sum("size").over(group)).alias("gap"),
-    )
-
-
-def one_round(items: DataFrame, gaps: DataFrame, most: int, capacity: int, tasks: int = 1) -> DataFrame:
-    """What a sweep and the opening of sequences for the rest lead to.
+def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
+    """Places for ``counts`` pieces of each size: rows (size, first, first sequence, pieces in each, offset), sorted.
 
-    For each item a row with its ``id``, ``bin`` and ``offset``. ``open`` and ``gap`` of a row are a
-    sequence and what is left of it after the round; a gap that got nothing has a row without item.
+    A row puts the pieces of a size from number ``first`` on into sequences from the given one on,
+    so many into each, up to the first piece of the next row. Sequences are numbered from 0.
     """
-    swept = sweep(items, gaps, tasks)
-    is_item, matched = F.col("kind") == 1, F.col("other").isNotNull()
-    placed = swept.where(is_item & matched).select(
-        "id", F.col("other").alias("bin"), (capacity - F.col("other_size")).alias("offset"),
-        F.col("other").alias("open"), (F.col("other_size") - F.col("size")).alias("gap"))
-    kept = swept.where(~is_item & ~matched).select(
-        F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("bin"), F.lit(None).cast("long").alias("offset"),
-        F.col("id").alias("open"), F.col("size").alias("gap"))
-    fresh = opened(swept.where(is_item & ~matched), most, capacity)
-    begun = fresh.select("id", "bin", "offset", F.when(F.col("offset") == 0, F.col("bin")).alias("open"), "gap")
-    return cut(placed.unionByName(kept).unionByName(begun).coalesce(tasks))
-
-
-def best_fit(pieces: DataFrame, capacity: int = CAPACITY, parts: tuple = PARTS) -> DataFrame:
-    """``id``, ``sequence_id`` and ``offset`` of pieces (id, size), sizes from 1 to ``capacity``; ids must differ.
-
-    Sizes beyond half a sequence open one each. Each further class of sizes is swept over the
-    gaps that can hold its least; what is left opens sequences, as many to each as fit.
-    """
-    pieces = pieces.select("id", "size")
+    runs = defaultdict(list)  # gap: runs (first sequence, sequences)
+    gaps: list[int] = []  # those with runs, sorted
+    rows, sequences = [], 0
+
+    def keep(gap: int, first: int, n: int) -> None:
+        if gap and n:
+            if not runs[gap]:
+                insort(gaps, gap)
+            runs[gap].append((first, n))
+
+    for size in sorted((s for s in counts if counts[s]), reverse=True):
+        left, done = counts[size], 0
+
+        def fill(gap: int, first: int, n: int) -> None:
+            """Of n sequences with a gap as many as the pieces left need take what they hold; the others stay."""
+            nonlocal left, done
+            each = gap // size
+            full = min(n, left // each)
+            if full:
+                rows.append((size, done, first, each, capacity - gap))
+                keep(gap - each * size, first, full)
+                left, done = left - full * each, done + full * each
+            if full < n and left:  # fewer than one sequence takes
+                rows.append((size, done, first + full, left, capacity - gap))
+                keep(gap - left * size, first + full, 1)
+                done, left, full = done + left, 0, full + 1
+            keep(gap, first + full, n - full)
+
+        while left and (at := bisect_left(gaps, size)) < len(gaps):
+            gap = gaps.pop(at)
+            for first, n in runs.pop(gap):
+                if left:
+                    fill(gap, first, n)
+                else:
+                    keep(gap, first, n)
+        if left:
+            n = -(-left // (capacity // size))
+            first, sequences = sequences, sequences + n
+            fill(capacity, first, n)
+    return np.array(sorted(rows), np.int64).reshape(-1, 5)
+
+
+def best_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """``id``, ``sequence_id`` (from 0 on) and ``offset`` of pieces (id, size), sizes from 1 to ``capacity``; ids must differ."""
+    pieces = pieces.select(F.col("id").cast("long").alias("id"), F.col("size").cast("long").alias("size"))
+    spark = pieces.sparkSession
     tasks = max(1, -(-pieces.count() // ROWS_OF_A_TASK))
-    large = pieces.where(F.col("size") > capacity // 2)
-    placed = large.select("id", F.col("id").alias("bin"), F.lit(0).cast("long").alias("offset"))
-    gaps = large.select("id", (capacity - F.col("size")).alias("size"))
-    limits = [capacity // p for p in parts if p <= capacity]
-    for most, least in pairwise([*dict.fromkeys(limits), 0]):
-        items = pieces.where((F.col("size") <= most) & (F.col("size") > least))
-        done = one_round(items, gaps.where(F.col("size") > least), capacity // most, capacity, tasks)
-        placed = placed.unionByName(done.where("id IS NOT NULL").select("id", "bin", "offset"))
-        left = done.where("open IS NOT NULL AND gap > 0").select(F.col("open").alias("id"), F.col("gap").alias("size"))
-        gaps = gaps.where(F.col("size") <= least).unionByName(left)
-    return placed.withColumnRenamed("bin", "sequence_id")
+    order = [F.desc("size"), F.col("id")]
+
+    def placed(batches):
+        part = TaskContext.get().partitionId()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, part), pa.int64())], ["id", "size", "part"])
+
+    # As files, so that tasks find the same rows in the same parts again.
+    ordered = cut(pieces.repartitionByRange(tasks, *order).mapInArrow(placed, "id long, size long, part long"))
+    # Parts follow each other in order of size: a row for each part and one more for each size at most.
+    sums, totals = {}, defaultdict(int)
+    for part, size, n in sorted(ordered.groupBy("part", "size").count().collect()):
+        sums[part, size] = totals[size]
+        totals[size] += n
+    rows = plan(totals, capacity)
+    shared = spark.sparkContext.broadcast((sums, rows))
+
+    def run(batches):
+        before, rows = shared.value
+        seen: dict[tuple[int, int], int] = {}
+        firsts = rows[:, 1]
+        starts, ends = (np.searchsorted(rows[:, 0], np.arange(capacity + 2), side) for side in ("left", "right"))
+        for batch in batches:
+            ids, sizes, parts = (batch.column(k).to_numpy() for k in range(3))
+            sequence, offset = np.empty(len(ids), np.int64), np.empty(len(ids), np.int64)
+            by_size = np.lexsort((sizes, parts))
+            cuts = np.flatnonzero((np.diff(sizes[by_size]) != 0) | (np.diff(parts[by_size]) != 0)) + 1
+            for at in np.split(by_size, cuts):
+                if not len(at):
+                    continue
+                group = (int(parts[at[0]]), int(sizes[at[0]]))
+                first = seen.get(group, before[group])
+                seen[group] = first + len(at)
+                number = np.arange(first, first + len(at))
+                low, high = starts[group[1]], ends[group[1]]
+                row = low + np.searchsorted(firsts[low:high], number, "right") - 1
+                _, start, run_first, each, begin = rows[row].T
+                sequence[at] = run_first + (number - start) // each
+                offset[at] = begin + (number - start) % each * group[1]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sequence), pa.array(offset)], ["id", "sequence_id", "offset"])
+
+    return ordered.mapInArrow(run, "id long, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, end: int = END, capacity: int = CAPACITY) -> DataFrame:

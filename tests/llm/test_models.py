@@ -121,6 +121,36 @@ def test_packing_is_gapless_and_tight(spark, sizes):
     assert len(bins) <= -(-sum(sizes) // 64) * 1.1 + 1
 
 
+@pytest.mark.parametrize("sizes, want", [
+    ([1] * 10_000, 3), ([2100] * 1000 + [20] * 99_000, 1000), ([3000] * 1000 + [40] * 27_000, 1000), ([3000] * 10 + [500] * 4 + [40] * 200 + [1] * 3000, 11),
+])
+def test_packing_fills_open_gaps_before_it_opens(spark, sizes, want):
+    pieces = spark.createDataFrame([(k, s) for k, s in enumerate(sizes)], "id long, size long")
+    rows = packing.best_fit(pieces.repartition(7)).join(pieces, "id").collect()
+    assert len({r["id"] for r in rows}) == len(rows) == len(sizes)
+    assert len(unpacked(rows, 4096)) == want
+
+
+def test_packing_leaves_what_best_fit_leaves():
+    rng = random.Random(8)
+    for capacity in (1, 7, 64, 300):
+        sizes = sorted((rng.choice([rng.randint(1, capacity), 1, capacity // 3 + 1, capacity // 9 + 1]) for _ in range(900)), reverse=True)
+        gaps = []
+        for size in sizes:
+            gap = min((g for g in gaps if g >= size), default=capacity)
+            if gap in gaps:
+                gaps.remove(gap)
+            gaps.append(gap - size)
+        counts, left = Counter(sizes), {}
+        rows = packing.plan(counts, capacity).tolist()
+        for k, (size, first, sequence, each, offset) in enumerate(rows):
+            until = rows[k + 1][1] if k + 1 < len(rows) and rows[k + 1][0] == size else counts[size]
+            for number in range(until - first):
+                spot = sequence + number // each
+                left[spot] = left.get(spot, capacity) - size
+        assert sorted(left.values()) == sorted(gaps)
+
+
 def test_sweep_takes_the_smallest_gap(spark):
     items = spark.createDataFrame([(1, 50), (2, 30), (3, 30), (4, 10), (5, 70)], "id long, size long")
     gaps = spark.createDataFrame([(11, 60), (12, 30), (13, 12), (14, 11), (15, 5)], "id long, size long")
