@@ -93,45 +93,48 @@ def _slots(plain: np.ndarray, slot: np.ndarray, at: int) -> list[int]:
     return plain[part][slot[part]].view(np.int64).tolist()
 
 
-WINDOW = "hash long, place long, slots array<long>"
+WINDOW = "hash long, place long, is_first boolean, slots array<long>"
 _LIST = pa.list_(pa.int64())
 
 
 def _windows_of(rows: DataFrame, passes, schema_head: str) -> DataFrame:
-    """Different windows (hash, first place, slot fillings) of each row (a key, a text) that ``passes`` lets through."""
+    """Windows (hash, place, whether the first of that hash, slot fillings) of each row (a key, a text) that ``passes`` lets through."""
     def run(batches):
         table = word_table()
         for batch in batches:
-            row, hashes, places, slots = [], [], [], []
+            row, hashes, places, firsts, slots = [], [], [], [], []
             for i, text in enumerate(raw_texts(batch.column(batch.num_columns - 1))):
                 as_written, typed, plain, slot = window_pairs(table, text)
-                seen: dict[int, int] = {}
+                seen: dict[tuple[int, int], None] = {}
                 for found in (typed, as_written):
                     for at in np.flatnonzero(passes(found)).tolist():
-                        seen.setdefault(int(found[at].astype(np.int64)), at)
-                for value, at in seen.items():
+                        seen[int(found[at].astype(np.int64)), at] = None
+                before: set[int] = set()
+                for value, at in seen:
                     row.append(i)
                     hashes.append(value)
                     places.append(at)
+                    firsts.append(value not in before)
+                    before.add(value)
                     slots.append(_slots(plain, slot, at))
             index = pa.array(row, pa.int64())
             heads = [c.take(index) for c in batch.columns[:-1]]
             yield pa.RecordBatch.from_arrays(
-                [*heads, pa.array(hashes, pa.int64()), pa.array(places, pa.int64()), pa.array(slots, _LIST)],
-                [*batch.schema.names[:-1], "hash", "place", "slots"],
+                [*heads, pa.array(hashes, pa.int64()), pa.array(places, pa.int64()), pa.array(firsts, pa.bool_()), pa.array(slots, _LIST)],
+                [*batch.schema.names[:-1], "hash", "place", "is_first", "slots"],
             )
     return rows.mapInArrow(run, f"{schema_head}, {WINDOW}")
 
 
 def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """Places of each item with both hashes: item, ``hash``, ``place``, ``slots``, ``item_windows`` (places in all)."""
+    """Places of each item with both hashes: item, ``hash``, ``at``, ``literal``, ``item_slots``, ``item_windows`` (places in all)."""
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"))
     kind = rows.schema["item"].dataType.simpleString()
 
     def run(batches):
         table = word_table()
         for batch in batches:
-            row, hashes, places, slots, sizes = [], [], [], [], []
+            row, hashes, places, literal, slots, sizes = [], [], [], [], [], []
             for i, text in enumerate(raw_texts(batch.column(1))):
                 as_written, typed, plain, slot = window_pairs(table, text)
                 for at in range(len(typed)):
@@ -139,13 +142,14 @@ def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text"
                         row.append(i)
                         hashes.append(value)
                         places.append(at)
+                        literal.append(value == int(as_written[at].astype(np.int64)))
                         slots.append(_slots(plain, slot, at))
                         sizes.append(len(typed))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(hashes, pa.int64()), pa.array(places, pa.int64()), pa.array(slots, _LIST), pa.array(sizes, pa.int64())],
-                ["item", "hash", "at", "item_slots", "item_windows"],
+                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(hashes, pa.int64()), pa.array(places, pa.int64()), pa.array(literal, pa.bool_()), pa.array(slots, _LIST), pa.array(sizes, pa.int64())],
+                ["item", "hash", "at", "literal", "item_slots", "item_windows"],
             )
-    return rows.mapInArrow(run, f"item {kind}, hash long, at long, item_slots array<long>, item_windows long").dropDuplicates(["item", "hash", "at"])
+    return rows.mapInArrow(run, f"item {kind}, hash long, at long, literal boolean, item_slots array<long>, item_windows long").dropDuplicates(["item", "hash", "at"])
 
 
 def bitmap_of(hashes: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
@@ -160,12 +164,28 @@ def bitmap_of(hashes: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     return found[:1 << bits]
 
 
+def _fillings(found: DataFrame, by: list[str]) -> DataFrame:
+    """Slot values of the item in each group: how many, how many filled in several ways, how many in one other way."""
+    return (
+        found.where(F.size("slots") == F.size("item_slots"))
+        .select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
+        .groupBy(*by, F.col("s.item_slots").alias("of"))
+        .agg(F.min("s.slots").alias("least"), F.max("s.slots").alias("most"))
+        .groupBy(*by).agg(
+            F.count("*").alias("n_slots"), F.count_if(F.col("least") != F.col("most")).alias("mixed"),
+            F.count_if((F.col("least") == F.col("most")) & (F.col("least") != F.col("of"))).alias("n_reparameterised"),
+        )
+    )
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, key="doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", least_share: float = LEAST_SHARE) -> DataFrame:
     """A row for each document row and benchmark item that it leaks: key, item, and figures.
 
     ``n_windows`` are the item's windows, ``n_matched`` those found in the document, ``coverage``
     their share (``least_share`` at least), ``n_reparameterised`` the slot values of the item
-    filled in another way. A pair with too many slot values filled in several ways is left out.
+    filled in another way. A pair is left out if too many slot values are filled in several ways,
+    unless its windows as written are enough alone, or those of one occurrence (at one distance
+    from the item's places) are enough and filled consistently.
     Items and documents with fewer words than a window are one window; without words they match
     nothing, as do missing texts. Repeated rows, of either table, each give their rows; empty
     tables give an empty result; other columns are ignored.
@@ -183,26 +203,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key="doc_id", text: str = "text
     kind = rows.schema["key"].dataType.simpleString()
     hits = _windows_of(rows, passes, f"key {kind}, row long")
     found = cut(hits.join(small(index, 100_000), "hash"))
+    found = found.withColumn("shift", F.col("place") - F.col("at"))
+    share = lambda n: F.col(n) / F.col("n_windows") >= least_share
     matched = (
-        found.groupBy("row", "item").agg(F.first("key").alias("key"), F.first("item_windows").alias("n_windows"), F.countDistinct("at").alias("n_matched"))
-        .withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(F.col("coverage") >= least_share)
+        found.groupBy("row", "item").agg(
+            F.first("key").alias("key"), F.first("item_windows").alias("n_windows"), F.countDistinct("at").alias("n_matched"),
+            F.countDistinct(F.when(F.col("literal"), F.col("at"))).alias("n_literal"))
+        .withColumn("coverage", F.col("n_matched") / F.col("n_windows")).where(share("n_matched"))
     )
-    fillings = (
-        found.where(F.size("slots") == F.size("item_slots"))
-        .select("row", "item", F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
-        .groupBy("row", "item", F.col("s.item_slots").alias("of"))
-        .agg(F.min("s.slots").alias("least"), F.max("s.slots").alias("most"))
-        .groupBy("row", "item").agg(
-            F.count("*").alias("n_slots"), F.count_if(F.col("least") != F.col("most")).alias("mixed"),
-            F.count_if((F.col("least") == F.col("most")) & (F.col("least") != F.col("of"))).alias("n_reparameterised"),
-        )
-    )
-    pairs = matched.join(fillings, ["row", "item"], "left")
+    within = found.groupBy("row", "item", "shift").agg(F.countDistinct("at").alias("n_here"), F.first("item_windows").alias("n_windows")).where(share("n_here"))
     consistent = F.coalesce(F.col("mixed") <= MOST_MIXED * F.col("n_slots"), F.lit(True))
+    changed = F.coalesce("n_reparameterised", F.lit(0))
+    # The occurrence with the most windows, and of these the one with the fewest changes.
+    best = (
+        within.join(_fillings(found, ["row", "item", "shift"]), ["row", "item", "shift"], "left").where(consistent)
+        .groupBy("row", "item").agg((-F.max(F.struct("n_here", (-changed).alias("less")))["less"]).alias("n_best"))
+    )
+    pairs = matched.join(best, ["row", "item"], "left").join(_fillings(found.where("is_first"), ["row", "item"]), ["row", "item"], "left")
+    pairs = pairs.where(share("n_literal") | F.col("n_best").isNotNull() | consistent)
+    changed = F.coalesce("n_best", F.when(share("n_literal"), F.lit(0)), changed)
     name = key if isinstance(key, str) else "key"
-    return pairs.where(consistent).select(
+    return pairs.select(
         F.col("key").alias(name), F.col("item").alias(item), "n_windows", "n_matched", F.round("coverage", 6).alias("coverage"),
-        F.coalesce("n_reparameterised", F.lit(0)).cast("long").alias("n_reparameterised"),
+        changed.cast("long").alias("n_reparameterised"),
     )
 
 

@@ -233,6 +233,18 @@ def test_other_parameters_are_caught(spark):
     assert got.keys() == {1, 2, 3, 5} and got[2] > 0 and got[1] == 0
 
 
+def test_whole_items_are_leaks_whatever_stands_before_them(spark):
+    item = "If Alice buys 12 apples at 3 dollars each and sells 5 of them to Bob for 7 dollars how much money does Alice have"
+    second = item.replace("Alice", "Carol").replace("Bob", "Dave").replace("12", "40").replace(" 3 ", " 9 ").replace(" 5 ", " 8 ").replace(" 7 ", " 6 ")
+    third = item.replace("Alice", "Erin").replace("Bob", "Frank").replace("12", "50").replace(" 3 ", " 2 ").replace(" 5 ", " 4 ").replace(" 7 ", " 11 ")
+    docs = [(1, f"{item}? {second}?"), (2, f"{second}? {item}?"), (3, f"{third}? {second}? {item}?"), (4, third)]
+    items = spark.createDataFrame([(7, item), (8, second)], "item_id long, text string")
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    got = {(r["doc_id"], r["item_id"]): r["n_reparameterised"] for r in found}
+    assert got.keys() == {(i, j) for i in (1, 2, 3, 4) for j in (7, 8)}
+    assert all(n == 0 for (i, _), n in got.items() if i < 4) and got[4, 7] > 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header class="top"><a href="/">Home, sweet</a></header>
 <nav><ul><li><a href="/a">A, b and a longer menu entry with commas, more, and more</a></li></ul></nav><div class="cookie-notice"><p>We use cookies, of course, and ask you to agree to all of them.</p></div>
 <div id="page"><div class="story"><h1>Head &amp; line</h1><p>First para, with a <a href="x">link</a> and <b>bold</b>&nbsp;text,
