@@ -24,7 +24,8 @@ LEAST_SHARE = 0.5
 #: Share of an item's slot values that may be filled in more than one way.
 MOST_MIXED = 0.25
 #: Words that are not placeholders in a canonical window; others are taken as they are written.
-LEAST_PLAIN = 3
+#: A window of placeholders alone says nothing of an item.
+LEAST_PLAIN = 1
 BITMAP_BITS = 23
 
 # Words for numbers, and units.
@@ -65,26 +66,37 @@ def word_table() -> Words:
     return Words(facts, [np.uint64, np.uint64, bool, bool, bool, bool])
 
 
-def canonical(table: Words, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words as written and as canonical words, and which of these are slots."""
+def canonical(table: Words, text: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Hashes of the words as written, and two readings of them: canonical words, and which of these are slots.
+
+    Capitalised words that begin a sentence are words in the first reading and names in the second,
+    which is left out where there are none.
+    """
     at = table.rows(text.split())
     plain, kind, slot, title, ends, empty = (c[at] for c in table.columns)
     first = np.ones(len(at), bool)
     first[1:] = ends[:-1]
-    name = title & ~first & ~slot
     keep = ~empty
-    return plain[keep], np.where(name, _NAME, kind)[keep], (slot | name)[keep]
+    title &= ~slot
+    names = [title & ~first] + ([title] if (title & first & keep).any() else [])
+    return plain[keep], [(np.where(name, _NAME, kind)[keep], (slot | name)[keep]) for name in names]
 
 
-def window_pairs(table: Words, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each window the plain and the canonical hash; of each word the plain hash and whether it is a slot."""
-    plain, kind, slot = canonical(table, text)
+def window_forms(table: Words, text: bytes) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Hashes of the words and of the windows as written, and forms: a hash for each window, whether each word is a slot.
+
+    The forms are the canonical windows of either reading, and last the windows as written.
+    """
+    plain, readings = canonical(table, text)
     width = min(WIDTH, len(plain))
-    as_written, typed = windows(plain, WIDTH), windows(kind, WIDTH)
-    if width:
+    as_written = windows(plain, WIDTH)
+    if not width:
+        return plain, as_written, []
+    forms = []
+    for kind, slot in readings:
         fixed = np.convolve(~slot, np.ones(width, int), "valid")
-        typed = np.where(fixed >= min(LEAST_PLAIN, width), typed, as_written)
-    return as_written, typed, plain, slot
+        forms.append((np.where(fixed >= min(LEAST_PLAIN, width), windows(kind, WIDTH), as_written), slot))
+    return plain, as_written, [*forms, (as_written, readings[0][1])]
 
 
 def _slots(plain: np.ndarray, slot: np.ndarray, at: int) -> list[int]:
@@ -104,13 +116,13 @@ def _windows_of(rows: DataFrame, passes, schema_head: str) -> DataFrame:
         for batch in batches:
             row, hashes, places, firsts, slots = [], [], [], [], []
             for i, text in enumerate(raw_texts(batch.column(batch.num_columns - 1))):
-                as_written, typed, plain, slot = window_pairs(table, text)
-                seen: dict[tuple[int, int], None] = {}
-                for found in (typed, as_written):
+                plain, _, forms = window_forms(table, text)
+                seen: dict[tuple[int, int], np.ndarray] = {}
+                for found, slot in forms:
                     for at in np.flatnonzero(passes(found)).tolist():
-                        seen[int(found[at].astype(np.int64)), at] = None
+                        seen.setdefault((int(found[at].astype(np.int64)), at), slot)
                 before: set[int] = set()
-                for value, at in seen:
+                for (value, at), slot in seen.items():
                     row.append(i)
                     hashes.append(value)
                     places.append(at)
@@ -127,7 +139,7 @@ def _windows_of(rows: DataFrame, passes, schema_head: str) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """Places of each item with both hashes: item, ``hash``, ``at``, ``literal``, ``item_slots``, ``item_windows`` (places in all)."""
+    """Places of each item with the hashes of its forms: item, ``hash``, ``at``, ``literal``, ``item_slots``, ``item_windows`` (places in all)."""
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"))
     kind = rows.schema["item"].dataType.simpleString()
 
@@ -136,15 +148,15 @@ def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text"
         for batch in batches:
             row, hashes, places, literal, slots, sizes = [], [], [], [], [], []
             for i, text in enumerate(raw_texts(batch.column(1))):
-                as_written, typed, plain, slot = window_pairs(table, text)
-                for at in range(len(typed)):
-                    for value in {int(typed[at].astype(np.int64)), int(as_written[at].astype(np.int64))}:
+                plain, as_written, forms = window_forms(table, text)
+                for at in range(len(as_written)):
+                    for value, slot in {int(found[at].astype(np.int64)): slot for found, slot in reversed(forms)}.items():
                         row.append(i)
                         hashes.append(value)
                         places.append(at)
                         literal.append(value == int(as_written[at].astype(np.int64)))
                         slots.append(_slots(plain, slot, at))
-                        sizes.append(len(typed))
+                        sizes.append(len(as_written))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(hashes, pa.int64()), pa.array(places, pa.int64()), pa.array(literal, pa.bool_()), pa.array(slots, _LIST), pa.array(sizes, pa.int64())],
                 ["item", "hash", "at", "literal", "item_slots", "item_windows"],

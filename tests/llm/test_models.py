@@ -245,6 +245,19 @@ def test_whole_items_are_leaks_whatever_stands_before_them(spark):
     assert all(n == 0 for (i, _), n in got.items() if i < 4) and got[4, 7] > 0
 
 
+@pytest.mark.parametrize("item, other", [
+    ("Tom has 4 red pens. Ann has 6 blue pens. Tom gives 2 pens to Ann. How many pens does Ann have now?",
+     "Kim has 7 red pens. Joe has 9 blue pens. Kim gives 3 pens to Joe. How many pens does Joe have now?"),
+    ("Tom runs 3 miles in 2 hours. Ann runs 5 miles in 4 hours. Who is faster?", "Kim runs 6 miles in 7 hours. Joe runs 8 miles in 9 hours. Who is faster?"),
+])
+def test_names_that_begin_sentences_are_parameters(spark, item, other):
+    no = "Tom walks home. Ann has a dog. How many people live in town now? Who is there for 2 hours?"
+    docs = spark.createDataFrame([(1, other), (2, f"So it is.\n{other} Yes."), (3, no), (4, item)], "doc_id long, text string")
+    found = decontaminate.leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    got = {r["doc_id"]: r["n_reparameterised"] for r in found}
+    assert got.keys() == {1, 2, 4} and got[1] > 0 and got[2] > 0 and got[4] == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header class="top"><a href="/">Home, sweet</a></header>
 <nav><ul><li><a href="/a">A, b and a longer menu entry with commas, more, and more</a></li></ul></nav><div class="cookie-notice"><p>We use cookies, of course, and ask you to agree to all of them.</p></div>
 <div id="page"><div class="story"><h1>Head &amp; line</h1><p>First para, with a <a href="x">link</a> and <b>bold</b>&nbsp;text,
