@@ -280,11 +280,11 @@ WITH texts AS (
 ), again AS (
   SELECT r, s FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)
 ), gone AS (
-  SELECT DISTINCT r, unnest(range(s, s + 35)) AS at FROM again
+  SELECT DISTINCT r, unnest(range(s, s + 35)) AS place FROM again
 ), placed AS (
-  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM texts
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts
 ), kept AS (
-  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY at) AS text FROM placed ANTI JOIN gone USING (r, at) GROUP BY r
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text FROM placed ANTI JOIN gone USING (r, place) GROUP BY r
 )
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM texts LEFT JOIN kept USING (r)

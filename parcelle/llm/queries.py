@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from parcelle.llm import chat, decontaminate, licences, main_text, maxent, near_dedup, packing, passages, pii, quality, secrets
+from parcelle.llm import chat, collocations, decontaminate, licences, main_text, maxent, near_dedup, packing, passages, pii, quality, secrets
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_secret_scan": secrets.op8_secret_scan,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "op12_phrase_collocations": collocations.op12_phrase_collocations,
     "op13_repeated_passages": passages.op13_repeated_passages,
     "pipeline": corpus_pipeline.run,
 }
 
 CHECKS: dict[str, str] = {
+    "op12_phrase_collocations": collocations.OP12_SQL,
     "op13_repeated_passages": passages.OP13_SQL,
 }
