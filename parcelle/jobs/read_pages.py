@@ -17,10 +17,10 @@ from parcelle.sources import files, kafka
 
 def write_links(pages: DataFrame, given: argparse.Namespace) -> None:
     """Listing links of result pages, each where it is met first, as CSV files."""
-    if given.source == V.SITE_A:
-        links = page_records.listing_links_a(pages, given.per_page)
-    else:
-        links = page_records.listing_links_m(pages, given.per_page or V.LINKS_PER_PAGE_M)
+    usual = None if given.source == V.SITE_A else V.LINKS_PER_PAGE_M
+    per_page = (usual if given.per_page is None else given.per_page) or None
+    links_of = page_records.listing_links_a if given.source == V.SITE_A else page_records.listing_links_m
+    links = links_of(pages, per_page)
     files.write_csv(first_links(links, given.limit).select("page_id", "pos", "link"), given.out)
 
 
@@ -31,7 +31,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--mode", choices=("louer", "vendre", "acheter"), default="louer")
     args.add_argument("--what", choices=("records", "links"), default="records")
     args.add_argument("--limit", type=int, help="links in all, in crawl order")
-    args.add_argument("--per-page", type=int, help="links of a page; 25 for source M as its crawler has it")
+    args.add_argument("--per-page", type=int, help="links of a page, 0 for all; 25 for source M if not given, as its crawler has it")
     args.add_argument("--sink", choices=("kafka", "csv"), default="kafka")
     args.add_argument("--out", help="folder for CSV files")
     args.add_argument("--bootstrap", default="kafka:9092")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +12,18 @@ from pyspark.sql import functions as F
 from parcelle.functions.html import attribute_values
 from parcelle.functions.text import absolute_url
 from parcelle.operators import page_rules
-from parcelle.operators.page_rules import Rule, read_page
+from parcelle.operators.page_rules import Reader, Rule
 
 # The rules travel with the task, so executors need not have the package installed.
 cloudpickle.register_pickle_by_value(page_rules)
 
 
+_ARROW = {
+    "string": pa.string(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string()),
+    "map<string,string>": pa.map_(pa.string(), pa.string()),
+}
+
+
 def extract(
     pages: DataFrame,
     rules: Mapping[str, Rule],
@@ -27,30 +33,36 @@ def extract(
     """One row per page: the kept columns, one column per rule, and ``error``.
 
     A page that cannot be read gives a row with ``error`` set and nothing else, and
-    the job goes on.
+    the job goes on. A task makes one automaton of all rules and reads a page once.
     """
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema)
     made = ", ".join(f"`{name}` {rule.type}" for name, rule in rules.items())
+    names = [*keep, *rules, "error"]
     rules = dict(rules)
 
-    def read(page: str | None) -> tuple:
-        try:
-            if page is None:
-                raise ValueError("page has no text")
-            root = read_page(page)
-            return (*(rule.take(root) for rule in rules.values()), None)
-        except Exception as problem:
-            return (*(None for _ in rules), str(problem) or type(problem).__name__)
+    def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = None
 
-    def read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = pd.DataFrame(
-                [read(page) for page in batch[html]], columns=[*rules, "error"],
-                index=batch.index, dtype=object,
-            )
-            yield pd.concat([batch[list(keep)], rows], axis=1)
+        def read(page: str | None) -> tuple:
+            nonlocal reader
+            try:
+                if page is None:
+                    raise ValueError("page has no text")
+                if reader is None:
+                    reader = Reader(list(rules.values()))
+                return (*reader.read(page), None)
+            except Exception as problem:
+                return (*(None for _ in rules), str(problem) or type(problem).__name__)
 
-    return pages.select(*keep, html).mapInPandas(
+        for batch in batches:
+            rows = [read(page.as_py()) for page in batch.column(len(keep))]
+            fields = [
+                pa.array([tuple(v.items()) if isinstance(v, dict) else v for v in taken], _ARROW[kind])
+                for kind, taken in zip([*(rule.type for rule in rules.values()), "string"], zip(*rows) if rows else [()] * (len(rules) + 1))
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *fields], names)
+
+    return pages.select(*keep, html).mapInArrow(
         read_batches, schema=f"{kept}, {made}, `error` string"
     )
 

@@ -116,6 +116,13 @@ SELECT page_id, url,
 FROM pages
 """
 
+# Some of the links of the given pages become addresses of listings.
+LISTED_PAGES = """
+SELECT page_id, url,
+ replace(replace(html, '<a href="/d', '<a href="/fr/casa/d_12.htm?d'), '<a href="/th', '<a href="/fr/rabat/th_7.htm?th') AS html
+FROM pages
+"""
+
 # What listing pages of source A say, one page for each order; the checks start from these columns.
 PAGE_ROWS_A = """
 SELECT o_orderkey AS page_id, concat('https://www.avito.ma/fr/x_', CAST(o_orderkey AS VARCHAR(20)), '.htm') AS url,
@@ -213,10 +220,20 @@ def over(df: DataFrame, text: str, name: str) -> DataFrame:
     return df.sparkSession.sql(named, source=df)
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table over all cores: pages made of its rows are a hundred times as long, but its file is one split."""
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
+
+
 def listing_pages(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
     """Listing pages (page_id, url, html) of source A or M, one for each order."""
     said, page, name = (PAGE_ROWS_A, HTML_A, "rows_a") if site == "a" else (PAGE_ROWS_M, HTML_M, "rows_m")
-    return over(derived(spark, sf_dir, said, "orders"), page, name)
+    return over(over(dealt(spark, sf_dir, "orders"), said, "orders"), page, name)
+
+
+def result_pages(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
+    """Pages of results (page_id, html) of source A or M, one for each order."""
+    return over(dealt(spark, sf_dir, "orders"), RESULTS_A if site == "a" else RESULTS_M, "orders")
 
 
 def listing_a(spark: SparkSession, sf_dir: str) -> DataFrame:

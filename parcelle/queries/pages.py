@@ -42,30 +42,35 @@ LINK_TEXTS = (
     + _clean(_plain("x")) + "), lambda x: x IS NOT NULL)"
 )
 URL_ID = r"nullif(regexp_extract(url, '/(\d+)', 1), '')"
-LINK_ROWS = f"""
-SELECT page_id, link, min(spot) AS spot FROM (
- SELECT page_id, concat('{SITE}', unnest(hrefs)) AS link, generate_subscripts(hrefs, 1) AS spot
- FROM (SELECT page_id, list_filter({HREFS}, lambda x: contains(x, 'e')) AS hrefs FROM pages))
-GROUP BY page_id, link"""
-LINKS = f"""
-SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY spot) - 1 AS INTEGER) AS pos, link
-FROM ({LINK_ROWS})"""
+def _links_of(pages: str, hrefs: str = HREFS) -> str:
+    """(page_id, pos, link) of a page table, each link of a page where it is met first."""
+    return f"""
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY spot) - 1 AS INTEGER) AS pos, link FROM (
+ SELECT page_id, link, min(spot) AS spot FROM (
+  SELECT page_id, concat('{SITE}', unnest(hrefs)) AS link, generate_subscripts(hrefs, 1) AS spot FROM (SELECT page_id, {hrefs} AS hrefs FROM {pages}))
+ GROUP BY page_id, link)"""
+
+
+LINKS = _links_of("pages")
+HAS_PARTS = " AND ".join(f"contains(x, '{part}')" for part in V.LINK_PARTS_A)
+LISTING_LINKS = _links_of("listed", f"list_filter({HREFS}, lambda x: {HAS_PARTS})")
 
 
 # --- links and pictures ------------------------------------------------------
 
 @query(LINKS)
 def page_links(spark, sf_dir):
-    return page_ops.page_links(I.table(spark, sf_dir, "pages"), SITE, parts=["e"])
+    return page_ops.page_links(I.table(spark, sf_dir, "pages"), SITE)
 
 
 @query(f"""
+WITH listed AS ({I.LISTED_PAGES})
 SELECT link, page_id, pos FROM (
- SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, pos) AS nth FROM ({LINKS}) WHERE pos < 3)
+ SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, pos) AS nth FROM ({LISTING_LINKS}) WHERE pos < 3)
 WHERE nth = 1 ORDER BY page_id, pos LIMIT 25""")
 def page_links_capped(spark, sf_dir):
-    links = page_ops.page_links(I.table(spark, sf_dir, "pages"), SITE, parts=["e"], limit=3)
-    return page_ops.first_links(links, 25)
+    listed = I.derived(spark, sf_dir, I.LISTED_PAGES, "pages")
+    return page_ops.first_links(page_ops.page_links(listed, SITE, parts=V.LINK_PARTS_A, limit=3), 25)
 
 
 @query(f"""
@@ -73,9 +78,7 @@ SELECT link, page_id, pos FROM (
  SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, pos) AS nth FROM ({LINKS}))
 WHERE nth = 1""")
 def page_links_unique(spark, sf_dir):
-    return page_ops.first_links(
-        page_ops.page_links(I.table(spark, sf_dir, "pages"), SITE, parts=["e"])
-    )
+    return page_ops.first_links(page_ops.page_links(I.table(spark, sf_dir, "pages"), SITE))
 
 
 @query(f"""
@@ -104,14 +107,14 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY spot) - 1
     f"concat('{V.BASE_URL_A}/fr/b_', CAST(o_orderkey AS VARCHAR), '.htm')", f"concat('{V.BASE_URL_A}/fr/d_', CAST(o_orderkey % 10 AS VARCHAR), '.htm')",
     f"concat('{V.BASE_URL_A}/fr/c_', CAST(o_orderkey % 100 AS VARCHAR), '.htm')"))
 def listing_links_a(spark, sf_dir):
-    return page_records.listing_links_a(I.derived(spark, sf_dir, I.RESULTS_A, "orders"))
+    return page_records.listing_links_a(I.result_pages(spark, sf_dir, "a"))
 
 
 @query(_links_sql(
     f"concat('{V.BASE_URL_M}/fr/a/', CAST(o_orderkey AS VARCHAR), '/b')", f"concat('{V.BASE_URL_M}/fr/a/', CAST(o_orderkey % 100 AS VARCHAR), '/c')",
     f"concat('{V.BASE_URL_M}/fr/a/', CAST(o_orderkey % 10 AS VARCHAR), '/d')"))
 def listing_links_m(spark, sf_dir):
-    return page_records.listing_links_m(I.derived(spark, sf_dir, I.RESULTS_M, "orders"))
+    return page_records.listing_links_m(I.result_pages(spark, sf_dir, "m"))
 
 
 # --- fields ------------------------------------------------------------------
