@@ -16,6 +16,8 @@ TOPICS = {
 RAW_NAMESPACE = "raw"
 SILVER_NAMESPACE = "silver"
 SILVER_TABLE = "listings_all"
+#: This library's own: the newest rows of the unified table.
+LATEST_TABLE = "listings_latest"
 
 # --- payload fields ----------------------------------------------------------
 PAYLOAD_A = (

@@ -8,7 +8,7 @@ from parcelle import fixed_values as V
 from parcelle.jobs import common
 from parcelle.plans.silver import SILVER_PLANS
 from parcelle.session import sized_shuffles
-from parcelle.sources import tables
+from parcelle.sources import latest, tables
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -20,6 +20,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         "--mode", choices=(tables.APPEND, tables.MERGE), default=tables.APPEND,
         help="merge leaves out versions that are there already",
     )
+    args.add_argument("--latest", action="store_true", help="bring the table of newest rows up to date, too")
     args.add_argument("--rebalance", action="store_true", help="even file sizes, for backfills")
     given = args.parse_args(argv)
     spark = common.session(given, f"{given.source}-build-silver")
@@ -27,11 +28,11 @@ def main(argv: Sequence[str] | None = None) -> None:
         raw = tables.scan_files(spark, given.raw_files, minutes=given.window_mins)
     else:
         raw = tables.scan(spark, common.raw_table(given, given.source), given.window_mins)
+    listings = SILVER_PLANS[given.source](raw)
     with sized_shuffles(raw):
-        tables.write_silver(
-            SILVER_PLANS[given.source](raw),
-            common.silver_table(given), given.mode, given.provider, given.rebalance,
-        )
+        tables.write_silver(listings, common.silver_table(given), given.mode, given.provider, given.rebalance)
+        if given.latest:
+            latest.merge(listings, latest.create_latest_table(spark, given.catalog))
 
 
 if __name__ == "__main__":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,16 +52,34 @@ def latest_per_key(
     keys: Sequence[str] = ("id",),
     newest: str = "ingest_ts",
     ties: Sequence[str] = ("payload",),
+    spread: int = 1,
 ) -> DataFrame:
     """The newest row of each key; of equally new ones the one greatest in ``ties``.
 
     The rank is cut to one, so Spark keeps a single row per key in every map task
     before the shuffle: a key with a third of all rows sends one row per task. Rows
     without a key are one group like any other.
+
+    With ``spread`` above one the rows are ranked twice: among the tasks of each of so
+    many shares, then among the shares. A key that every task sends a row of then
+    meets in groups of (tasks / spread) and of (spread) rows, for a second shuffle of
+    what the first rank left.
     """
     order = [F.col(name).desc_nulls_last() for name in (newest, *ties)]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+
+    def first(rows: DataFrame, *by: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+
+    if spread > 1:
+        shared = df.withColumn("_share", F.spark_partition_id() % spread)
+        df = first(shared, *keys, "_share").drop("_share")
+    return first(df, *keys)
+
+
+def spread_for(tasks: int, most_rows: int = 10_000) -> int:
+    """Shares that keep every group of :func:`latest_per_key` small: none up to ``most_rows`` tasks, then the root of the tasks."""
+    return 1 if tasks <= most_rows else math.ceil(math.sqrt(tasks))
 
 
 def valid_url(df: DataFrame, column: str = "url") -> DataFrame:

@@ -18,8 +18,9 @@ from parcelle import fixed_values as V
 from parcelle.functions import bags, places, text
 from parcelle.operators.attributes import labelled_attributes
 from parcelle.operators.payloads import key_by_document, parse_payload
-from parcelle.operators.versions import fresh_window, latest_per_key
+from parcelle.operators.versions import fresh_window, latest_per_key, spread_for
 from parcelle.schemas import PAYLOAD_A, PAYLOAD_M, SILVER
+from parcelle.session import scan_tasks
 
 
 #: Payload fields that a unified column is made of, where it is not the field of its own name.
@@ -78,7 +79,8 @@ def latest_documents(
     whatever its older versions had.
     """
     keyed = key_by_document(fresh_window(raw, minutes, as_of), schema)
-    return parse_payload(latest_per_key(keyed).filter("addressed"), schema, fields)
+    newest = latest_per_key(keyed, spread=spread_for(scan_tasks(raw)))
+    return parse_payload(newest.filter("addressed"), schema, fields)
 
 
 def silver_a(

@@ -220,20 +220,20 @@ def over(df: DataFrame, text: str, name: str) -> DataFrame:
     return df.sparkSession.sql(named, source=df)
 
 
-def dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A given table over all cores: pages made of its rows are a hundred times as long, but its file is one split."""
-    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism, key)
 
 
 def listing_pages(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
     """Listing pages (page_id, url, html) of source A or M, one for each order."""
     said, page, name = (PAGE_ROWS_A, HTML_A, "rows_a") if site == "a" else (PAGE_ROWS_M, HTML_M, "rows_m")
-    return over(over(dealt(spark, sf_dir, "orders"), said, "orders"), page, name)
+    return over(over(dealt(spark, sf_dir, "orders", "o_orderkey"), said, "orders"), page, name)
 
 
 def result_pages(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
     """Pages of results (page_id, html) of source A or M, one for each order."""
-    return over(dealt(spark, sf_dir, "orders"), RESULTS_A if site == "a" else RESULTS_M, "orders")
+    return over(dealt(spark, sf_dir, "orders", "o_orderkey"), RESULTS_A if site == "a" else RESULTS_M, "orders")
 
 
 def listing_a(spark: SparkSession, sf_dir: str) -> DataFrame:

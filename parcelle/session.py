@@ -90,6 +90,14 @@ def shuffle_partitions_for(df: DataFrame, bytes_per_partition: int = 128 << 20)
     return own if size >= _UNKNOWN_SIZE else max(own, -(-size // bytes_per_partition))
 
 
+def scan_tasks(df: DataFrame) -> int:
+    """Tasks that reading an input takes, by the size of its files; 1 where Spark does not know it."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
+    return 1 if size >= _UNKNOWN_SIZE else max(1, -(-size // split))
+
+
 @contextlib.contextmanager
 def sized_shuffles(df: DataFrame, bytes_per_partition: int = 128 << 20) -> Iterator[int]:
     """Within it, shuffles have as many partitions as the input needs; after it, as before."""

@@ -182,7 +182,7 @@ def write_silver(
         if how == APPEND:
             dated.write.insertInto(name)
         else:
-            with _dynamic_overwrite(df.sparkSession):
+            with dynamic_overwrite(df.sparkSession):
                 dated.write.insertInto(name, overwrite=True)
     else:
         raise ValueError(f"unknown table provider: {provider}")
@@ -210,7 +210,7 @@ def other_sites(rows: DataFrame, there: DataFrame) -> DataFrame:
 
 
 @contextlib.contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Inserts replace the partitions they touch; no option of the writer says so."""
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
