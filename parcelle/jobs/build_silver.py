@@ -1,11 +1,13 @@
-"""Add the fresh listings of one source to the unified table."""
+"""Add the fresh listings of one source to the unified table, and print counts of what was read and written."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from parcelle import fixed_values as V
 from parcelle.jobs import common
+from parcelle.operators.audits import Audit
 from parcelle.plans.silver import SILVER_PLANS
 from parcelle.session import sized_shuffles
 from parcelle.sources import latest, tables
@@ -28,11 +30,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         raw = tables.scan_files(spark, given.raw_files, minutes=given.window_mins)
     else:
         raw = tables.scan(spark, common.raw_table(given, given.source), given.window_mins)
-    listings = SILVER_PLANS[given.source](raw)
+    audit = Audit()
+    listings = SILVER_PLANS[given.source](raw, audit=audit)
     with sized_shuffles(raw):
-        tables.write_silver(listings, common.silver_table(given), given.mode, given.provider, given.rebalance)
+        tables.write_silver(listings, common.silver_table(given), given.mode, given.provider, given.rebalance, audit)
         if given.latest:
-            latest.merge(listings, latest.create_latest_table(spark, given.catalog))
+            latest.merge(SILVER_PLANS[given.source](raw), latest.create_latest_table(spark, given.catalog))
+    print(json.dumps(audit.report()))
 
 
 if __name__ == "__main__":

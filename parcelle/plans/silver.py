@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from parcelle import fixed_values as V
 from parcelle.functions import bags, places, text
 from parcelle.operators.attributes import labelled_attributes
+from parcelle.operators.audits import Audit
 from parcelle.operators.payloads import key_by_document, parse_payload
 from parcelle.operators.versions import fresh_window, latest_per_key, spread_for
 from parcelle.schemas import PAYLOAD_A, PAYLOAD_M, SILVER
@@ -72,23 +73,29 @@ def latest_documents(
     minutes: int = 0,
     as_of: dt.datetime | Column | None = None,
     fields: Sequence[str] | None = None,
+    audit: Audit | None = None,
 ) -> DataFrame:
     """The newest document of each listing, parsed as far as ``fields`` go, with an address.
 
     The address is looked at last: a listing whose newest version has none is gone,
     whatever its older versions had.
     """
-    keyed = key_by_document(fresh_window(raw, minutes, as_of), schema)
+    fresh = fresh_window(raw, minutes, as_of)
+    keyed = key_by_document(audit.of_read(fresh, schema) if audit else fresh, schema)
     newest = latest_per_key(keyed, spread=spread_for(scan_tasks(raw)))
     return parse_payload(newest.filter("addressed"), schema, fields)
 
 
 def silver_a(
-    raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None, columns: Sequence[str] | None = None
+    raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None, columns: Sequence[str] | None = None,
+    audit: Audit | None = None,
 ) -> DataFrame:
-    """Source A in unified form; with ``columns`` no more is read of a document than these need."""
+    """Source A in unified form; with ``columns`` no more is read of a document than these need.
+
+    ``audit`` counts what is read.
+    """
     c = F.col
-    listings = latest_documents(raw, PAYLOAD_A, minutes, as_of, fields_for(PAYLOAD_A, _MADE_OF_A, columns))
+    listings = latest_documents(raw, PAYLOAD_A, minutes, as_of, fields_for(PAYLOAD_A, _MADE_OF_A, columns), audit)
     there = set(listings.columns)
     if "breadcrumbs" in there:
         listings = listings.withColumn("_place", places.breadcrumb_place(c("breadcrumbs")))
@@ -113,11 +120,15 @@ def silver_a(
 
 
 def silver_m(
-    raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None, columns: Sequence[str] | None = None
+    raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None, columns: Sequence[str] | None = None,
+    audit: Audit | None = None,
 ) -> DataFrame:
-    """Source M in unified form; with ``columns`` no more is read of a document than these need."""
+    """Source M in unified form; with ``columns`` no more is read of a document than these need.
+
+    ``audit`` counts what is read.
+    """
     c = F.col
-    listings = latest_documents(raw, PAYLOAD_M, minutes, as_of, fields_for(PAYLOAD_M, _MADE_OF_M, columns))
+    listings = latest_documents(raw, PAYLOAD_M, minutes, as_of, fields_for(PAYLOAD_M, _MADE_OF_M, columns), audit)
     there = set(listings.columns)
     if "location_text" in there:
         listings = listings.withColumn("_place", places.paired_place(c("location_text")))

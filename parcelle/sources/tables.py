@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from parcelle import fixed_values as V
 from parcelle.functions.dates import utc_day
+from parcelle.operators.audits import Audit
 from parcelle.operators.versions import fresh_window
 from parcelle.schemas import PARTITION, RAW, SILVER
 
@@ -150,6 +151,7 @@ def write_silver(
     mode: str | None = APPEND,
     provider: str = ICEBERG,
     rebalance: bool = False,
+    audit: Audit | None = None,
 ) -> None:
     """Append to a unified table, add what is new to it, or replace days of a site.
 
@@ -159,7 +161,7 @@ def write_silver(
 
     ``rebalance`` shuffles once more so that each day ends up in few files of even
     size: for backfills over many days. A day with most of the rows is split over
-    several tasks, so no writer gets it whole.
+    several tasks, so no writer gets it whole. ``audit`` counts what is written.
     """
     how = (mode or APPEND).lower()
     if how not in (APPEND, MERGE) and how not in V.OVERWRITE_MODES:
@@ -169,6 +171,8 @@ def write_silver(
         rows, how = new_versions(rows, df.sparkSession.table(name)), APPEND
     elif how != APPEND:
         rows = rows.unionByName(unified_rows(other_sites(rows, df.sparkSession.table(name))))
+    if audit:
+        rows = audit.of_written(rows)
     if provider == ICEBERG:
         if rebalance:
             # No column: the table's days are a transform, and AQE evens out sizes.

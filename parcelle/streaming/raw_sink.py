@@ -38,12 +38,12 @@ def trigger_interval(text: str | int | None) -> str:
     return given
 
 
-def checkpoint_for(spark: SparkSession, source: str) -> str:
+def checkpoint_for(spark: SparkSession, source: str, kind: str = "raw") -> str:
     """A stream's checkpoint below the folder the cluster shares for checkpoints."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         raise ValueError("give a checkpoint location, or set spark.checkpoint.dir")
-    return f"{shared.rstrip('/')}/streams/{source}_raw"
+    return f"{shared.rstrip('/')}/streams/{source}_{kind}"
 
 
 def file_records(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -70,11 +70,11 @@ def start_raw_sink(
     """
     envelopes = raw_envelope(decode_records(records))
     if provider == ICEBERG:
-        return _timed(envelopes.writeStream.format(ICEBERG), checkpoint, trigger, once).toTable(target)
+        return timed(envelopes.writeStream.format(ICEBERG), checkpoint, trigger, once).toTable(target)
     if provider == PARQUET:
         writer = with_partition(envelopes).writeStream.format(PARQUET).partitionBy(PARTITION.name)
-        timed = _timed(writer, checkpoint, trigger, once)
-        return timed.start(target) if "/" in target else timed.toTable(target)
+        ready = timed(writer, checkpoint, trigger, once)
+        return ready.start(target) if "/" in target else ready.toTable(target)
     raise ValueError(f"unknown table provider: {provider}")
 
 
@@ -85,10 +85,11 @@ def start_preview(records: DataFrame, trigger: str | None = V.TRIGGER) -> Stream
     return writer.outputMode("append").trigger(processingTime=trigger_interval(trigger)).start()
 
 
-def _timed(
+def timed(
     writer: DataStreamWriter, checkpoint: str, trigger: str | None, once: bool
 ) -> DataStreamWriter:
-    timed = writer.outputMode("append").option("checkpointLocation", checkpoint)
+    """A writer that takes what is there and ends, or goes on at every trigger."""
+    kept = writer.outputMode("append").option("checkpointLocation", checkpoint)
     if once:
-        return timed.trigger(availableNow=True)
-    return timed.trigger(processingTime=trigger_interval(trigger))
+        return kept.trigger(availableNow=True)
+    return kept.trigger(processingTime=trigger_interval(trigger))
