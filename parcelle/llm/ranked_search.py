@@ -313,15 +313,36 @@ class _Search:
                 heapq.heapreplace(best, found)
 
 
-def search(index: DataFrame, queries: list[np.ndarray], weights: np.ndarray, limits: np.ndarray, top: int, most_leaves: int | None = None) -> DataFrame:
-    """``query``, ``key`` and ``score`` of the best documents of each task; with ``most_leaves`` of so many leaves of a tree only."""
+def first_limits(index: DataFrame, queries: list[np.ndarray], weights: np.ndarray, top: int) -> np.ndarray:
+    """A score for each query that at least ``top`` documents reach, or 0: what the best leaf of each tree has."""
+    shared = index.sparkSession.sparkContext.broadcast((queries, weights))
+
+    def run(batches):
+        asked, weight = shared.value
+        found = _Search(asked, np.zeros(len(asked), np.int64), weight, top)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                found.tree([c[row].as_py() for c in batch.columns], most_leaves=1)
+        q, scores = (np.array([x[k] for x in ((q, score) for q, best in enumerate(found.best) for score, _ in best)], np.int64) for k in range(2))
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(scores)], ["query", "reached"])
+
+    order = Window.partitionBy("query").orderBy(F.desc("reached"))
+    best = index.mapInArrow(run, "query long, reached long").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    limits = np.zeros(len(queries), np.int64)
+    for q, score in best.where(F.col("rank") == top).select("query", "reached").collect():  # a row for each query of the block
+        limits[q] = score
+    return limits
+
+
+def search(index: DataFrame, queries: list[np.ndarray], weights: np.ndarray, limits: np.ndarray, top: int) -> DataFrame:
+    """``query``, ``key`` and ``score`` of the best documents of each task, without those below a query's limit."""
     shared = index.sparkSession.sparkContext.broadcast((queries, weights, limits))
 
     def run(batches):
         found = _Search(*(shared.value[k] for k in (0, 2, 1)), top)
         for batch in batches:
             for row in range(batch.num_rows):
-                found.tree([c[row].as_py() for c in batch.columns], most_leaves)
+                found.tree([c[row].as_py() for c in batch.columns])
         rows = [(q, -key, score) for q, best in enumerate(found.best) for score, key in best]
         q, keys, scores = (np.array([r[k] for r in rows], np.int64) for k in range(3))
         yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(keys, mask=keys == _LAST), pa.array(scores)], ["query", "key", "score"])
@@ -360,10 +381,7 @@ def ranked_documents(
         weights = weights_of(sums, len(terms))
         index = cut(trees(vectors.where("number IS NULL"), sums, weights, leaf=leaf))
         queries = [np.array(x) for x in of_items]
-        first = _ranked(search(index, queries, weights, np.zeros(len(queries), np.int64), top, most_leaves=1), top)
-        limits = np.zeros(len(queries), np.int64)
-        for q, score in first.where(F.col("rank") == top).select("query", "score").collect():
-            limits[q] = score
+        limits = first_limits(index, queries, weights, top)
         found = cut(_ranked(search(index, queries, weights, limits, top), top))
         names = spark.createDataFrame(rows, f"query long, item {kind}")
         out = out.unionByName(found.join(F.broadcast(names), "query").select("item", "rank", "key", "score"))
