@@ -18,6 +18,8 @@ SILVER_NAMESPACE = "silver"
 SILVER_TABLE = "listings_all"
 #: This library's own: the newest rows of the unified table.
 LATEST_TABLE = "listings_latest"
+#: The labels of attributes that were met.
+LABEL_TABLE = "attribute_labels"
 
 # --- payload fields ----------------------------------------------------------
 PAYLOAD_A = (

@@ -10,7 +10,7 @@ from parcelle.jobs import common
 from parcelle.operators.audits import Audit
 from parcelle.plans.silver import SILVER_PLANS
 from parcelle.session import sized_shuffles
-from parcelle.sources import latest, tables
+from parcelle.sources import labels, latest, tables
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -22,6 +22,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         "--mode", choices=(tables.APPEND, tables.MERGE), default=tables.APPEND,
         help="merge leaves out versions that are there already",
     )
+    args.add_argument("--labels", action="store_true", help="make columns of labels that the unified table has none for")
     args.add_argument("--latest", action="store_true", help="bring the table of newest rows up to date, too")
     args.add_argument("--rebalance", action="store_true", help="even file sizes, for backfills")
     given = args.parse_args(argv)
@@ -31,7 +32,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     else:
         raw = tables.scan(spark, common.raw_table(given, given.source), given.window_mins)
     audit = Audit()
-    listings = SILVER_PLANS[given.source](raw, audit=audit)
+    more = ()
+    if given.labels:
+        more = labels.follow(raw, given.source, labels.create_label_table(spark, given.catalog, given.provider), common.silver_table(given))
+    listings = SILVER_PLANS[given.source](raw, audit=audit, more=more)
     with sized_shuffles(raw):
         tables.write_silver(listings, common.silver_table(given), given.mode, given.provider, given.rebalance, audit)
         if given.latest:

@@ -22,11 +22,12 @@ def sanitized_keys(keys: DataFrame) -> DataFrame:
 
 
 def labelled_attributes(
-    df: DataFrame, column: str, labels: Sequence[str], raw: Mapping[str, str] | None = None
+    df: DataFrame, column: str, labels: Sequence[str], raw: Mapping[str, str] | None = None, more: Sequence[str] = ()
 ) -> DataFrame:
     """Adds one trimmed column per label out of a JSON object of attributes.
 
-    ``raw`` names columns for values as they are, of exactly these labels.
+    ``raw`` names columns for values as they are, of exactly these labels, ``more`` columns for
+    whatever labels give these names.
 
     Almost every object has no labels but the given ones, spelled as given. These are
     read straight into fields. Objects with any other label are read into a map, whose
@@ -50,6 +51,9 @@ def labelled_attributes(
     }).withColumns({
         name: F.when(unusual, F.col("_map")[label]).otherwise(F.col("_fields")[label])
         for name, label in (raw or {}).items()
+    }).withColumns({
+        # A label that is not among the given ones makes its object an unusual one.
+        name: F.col("_named")[name] for name in more
     }).drop("_fields", "_unusual", "_map", "_named")
 
 

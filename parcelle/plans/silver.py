@@ -38,8 +38,10 @@ _MADE_OF_M = {
 }
 
 
-def unified(df: DataFrame, columns: Mapping[str, Column], wanted: Sequence[str] | None = None) -> DataFrame:
-    """The unified columns in order, or of them the wanted ones.
+def unified(
+    df: DataFrame, columns: Mapping[str, Column], wanted: Sequence[str] | None = None, more: Sequence[str] = ()
+) -> DataFrame:
+    """The unified columns in order, or of them the wanted ones, and ``more`` columns as they are.
 
     Each is the given expression, else the column of that name, else a NULL of its type.
     """
@@ -56,7 +58,7 @@ def unified(df: DataFrame, columns: Mapping[str, Column], wanted: Sequence[str]
             return field.name
         return nothing[field.dataType].alias(field.name)
 
-    return df.select(*(column(f) for f in SILVER.fields if wanted is None or f.name in wanted))
+    return df.select(*(column(f) for f in SILVER.fields if wanted is None or f.name in wanted), *more)
 
 
 def fields_for(schema: T.StructType, made_of: Mapping[str, Sequence[str]], wanted: Sequence[str] | None) -> list[str] | None:
@@ -88,11 +90,12 @@ def latest_documents(
 
 def silver_a(
     raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None, columns: Sequence[str] | None = None,
-    audit: Audit | None = None,
+    audit: Audit | None = None, more: Sequence[str] = (),
 ) -> DataFrame:
     """Source A in unified form; with ``columns`` no more is read of a document than these need.
 
-    ``audit`` counts what is read.
+    ``audit`` counts what is read. ``more`` are names of columns for labels that are not in the
+    unified table, for whole rows only.
     """
     c = F.col
     listings = latest_documents(raw, PAYLOAD_A, minutes, as_of, fields_for(PAYLOAD_A, _MADE_OF_A, columns), audit)
@@ -102,7 +105,7 @@ def silver_a(
     if "category" in there:
         listings = listings.withColumn("_category", places.category_parts(c("category")))
     if "attributes" in there:
-        listings = labelled_attributes(listings, "attributes", V.LABELS_A)
+        listings = labelled_attributes(listings, "attributes", V.LABELS_A, more=more)
     made = {
         "site": F.lit(V.SITE_A),
         "offre": c("listing_type"),
@@ -116,16 +119,17 @@ def silver_a(
         "description_text": c("description"),
         "offre_match": places.offer_matches(c("_category.phrase"), c("listing_type")),
     }
-    return unified(listings, made, columns)
+    return unified(listings, made, columns, more)
 
 
 def silver_m(
     raw: DataFrame, minutes: int = 0, as_of: dt.datetime | Column | None = None, columns: Sequence[str] | None = None,
-    audit: Audit | None = None,
+    audit: Audit | None = None, more: Sequence[str] = (),
 ) -> DataFrame:
     """Source M in unified form; with ``columns`` no more is read of a document than these need.
 
-    ``audit`` counts what is read.
+    ``audit`` counts what is read. ``more`` are names of columns for labels that are not in the
+    unified table, for whole rows only.
     """
     c = F.col
     listings = latest_documents(raw, PAYLOAD_M, minutes, as_of, fields_for(PAYLOAD_M, _MADE_OF_M, columns), audit)
@@ -133,7 +137,7 @@ def silver_m(
     if "location_text" in there:
         listings = listings.withColumn("_place", places.paired_place(c("location_text")))
     if "features_main_json" in there:
-        listings = labelled_attributes(listings, "features_main_json", V.LABELS_M, {"_type": V.PROPERTY_TYPE_LABEL})
+        listings = labelled_attributes(listings, "features_main_json", V.LABELS_M, {"_type": V.PROPERTY_TYPE_LABEL}, more)
     made = {
         "site": F.lit(V.SITE_M),
         "offre": c("listing_type"),
@@ -144,7 +148,7 @@ def silver_m(
         "property_type": c("_type"),
         "images": bags.json_list(c("gallery_urls")),
     }
-    return unified(listings, made, columns)
+    return unified(listings, made, columns, more)
 
 
 SILVER_PLANS: Mapping[str, Callable[..., DataFrame]] = {

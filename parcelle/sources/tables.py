@@ -166,11 +166,13 @@ def write_silver(
     how = (mode or APPEND).lower()
     if how not in (APPEND, MERGE) and how not in V.OVERWRITE_MODES:
         raise ValueError(f"unsupported write mode: {mode}")
-    rows = unified_rows(df)
+    table = df.sparkSession.table(name)
+    more = [column for column in table.columns if column not in (*SILVER.names, PARTITION.name)]
+    rows = unified_rows(df, more)
     if how == MERGE:
-        rows, how = new_versions(rows, df.sparkSession.table(name)), APPEND
+        rows, how = new_versions(rows, table), APPEND
     elif how != APPEND:
-        rows = rows.unionByName(unified_rows(other_sites(rows, df.sparkSession.table(name))))
+        rows = rows.unionByName(unified_rows(other_sites(rows, table), more))
     if audit:
         rows = audit.of_written(rows)
     if provider == ICEBERG:
@@ -225,8 +227,9 @@ def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def unified_rows(df: DataFrame) -> DataFrame:
-    """The unified columns in table order; a missing value where there must be one fails."""
+def unified_rows(df: DataFrame, more: Iterable[str] = ()) -> DataFrame:
+    """The unified columns in table order, then text columns that the table has, too; a missing value where there must be one fails."""
+    there = set(df.columns)
     def column(field: T.StructField) -> Column:
         value = F.col(field.name)
         if not field.nullable:
@@ -234,7 +237,8 @@ def unified_rows(df: DataFrame) -> DataFrame:
             value = F.coalesce(value, problem)
         return value.cast(field.dataType).alias(field.name)
 
-    return df.select(*map(column, SILVER.fields))
+    others = (F.col(n).cast("string").alias(n) if n in there else F.lit(None).cast("string").alias(n) for n in more)
+    return df.select(*map(column, SILVER.fields), *others)
 
 
 def with_partition(df: DataFrame) -> DataFrame:
