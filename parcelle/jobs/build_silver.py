@@ -10,7 +10,7 @@ from parcelle.jobs import common
 from parcelle.operators.audits import Audit
 from parcelle.plans.silver import SILVER_PLANS
 from parcelle.session import sized_shuffles
-from parcelle.sources import labels, latest, tables
+from parcelle.sources import compaction, labels, latest, tables
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -28,7 +28,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     given = args.parse_args(argv)
     spark = common.session(given, f"{given.source}-build-silver")
     if given.raw_files:
-        raw = tables.scan_files(spark, given.raw_files, minutes=given.window_mins)
+        raw = compaction.scan_raw(spark, given.raw_files, given.window_mins)
     else:
         raw = tables.scan(spark, common.raw_table(given, given.source), given.window_mins)
     audit = Audit()
