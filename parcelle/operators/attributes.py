@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parcelle.functions.bags import attribute_map, named_attributes
 from parcelle.functions.text import column_name, label_to_column
@@ -29,32 +28,23 @@ def labelled_attributes(
     ``raw`` names columns for values as they are, of exactly these labels, ``more`` columns for
     whatever labels give these names.
 
-    Almost every object has no labels but the given ones, spelled as given. These are
-    read straight into fields. Objects with any other label are read into a map, whose
-    labels are turned into names, since another spelling may stand for the same column;
-    so are texts that are no object. Both ways give the same for objects of the first kind.
+    The object is read once, into a map. Almost every object has no labels but the given
+    ones, spelled as given, which are looked up there. Of objects with any other label the
+    labels are turned into names, since another spelling may stand for the same column.
+    Both ways give the same for objects of the first kind.
     """
-    text = F.col(column)
-    fields = T.StructType([T.StructField(label, T.StringType()) for label in labels])
-    others = F.array_except(F.json_object_keys(text), F.split(F.lit("\n".join(labels)), "\n"))
-    read = df.withColumns({
-        "_fields": F.from_json(text, fields),
-        "_unusual": F.coalesce(F.size(others) > 0, text.isNotNull()),
-    })
-    unusual = F.col("_unusual")
-    mapped = read.withColumn("_map", F.when(unusual, attribute_map(text)))
-    named = mapped.withColumn("_named", named_attributes(F.col("_map")))
-    return named.withColumns({
-        label_to_column(label): F.when(unusual, F.col("_named")[label_to_column(label)])
-        .otherwise(F.trim(F.col("_fields")[label]))
+    bag, named = F.col("_map"), F.col("_named")
+    others = F.array_except(F.map_keys(bag), F.split(F.lit("\n".join(labels)), "\n"))
+    read = df.withColumn("_map", attribute_map(F.col(column)))
+    read = read.withColumn("_named", F.when(F.size(others) > 0, named_attributes(bag)))
+    return read.withColumns({
+        label_to_column(label): F.when(named.isNotNull(), named[label_to_column(label)]).otherwise(F.trim(bag[label]))
         for label in labels
     }).withColumns({
-        name: F.when(unusual, F.col("_map")[label]).otherwise(F.col("_fields")[label])
-        for name, label in (raw or {}).items()
-    }).withColumns({
-        # A label that is not among the given ones makes its object an unusual one.
-        name: F.col("_named")[name] for name in more
-    }).drop("_fields", "_unusual", "_map", "_named")
+        **{name: bag[label] for name, label in (raw or {}).items()},
+        # A label that is not among the given ones makes its object one of the second kind.
+        **{name: named[name] for name in more},
+    }).drop("_map", "_named")
 
 
 def pivoted_attributes(df: DataFrame, bag: Column, names: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -73,6 +73,11 @@ def parsed_fields(plan):
     return sorted(part.count("StructField(") for part in found)
 
 
+def test_attribute_texts_are_read_once(spark, sf_dir):
+    plan = plan_of(QUERIES["attr_columns"](spark, sf_dir))
+    assert plan.count("from_json(MapType(StringType,StringType,true), attributes") == 1 and "json_object_keys(attributes" not in plan
+
+
 def test_few_columns_parse_few_fields(spark, sf_dir):
     for name, most in (("avg_price_offer", 2), ("count_city_offer", 2), ("silver_sample", 5)):
         fields = parsed_fields(plan_of(QUERIES[name](spark, sf_dir)))
