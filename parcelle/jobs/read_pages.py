@@ -5,13 +5,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelle import fixed_values as V
 from parcelle.jobs import common
 from parcelle.operators.pages import first_links
 from parcelle.plans import page_records
-from parcelle.sources import files, kafka
+from parcelle.sources import files, kafka, seen_links
 from parcelle.streaming import page_stream, raw_sink
 
 
@@ -21,7 +22,16 @@ def write_links(pages: DataFrame, given: argparse.Namespace) -> None:
     per_page = (usual if given.per_page is None else given.per_page) or None
     links_of = page_records.listing_links_a if given.source == V.SITE_A else page_records.listing_links_m
     links = links_of(pages, per_page)
-    files.write_csv(first_links(links, given.limit).select("page_id", "pos", "link"), given.out)
+    if not given.new:
+        files.write_csv(first_links(links, given.limit).select("page_id", "pos", "link"), given.out)
+        return
+    # Only links that no earlier run gave; a run that fails before it has noted them gives them again.
+    name = seen_links.create_seen_table(pages.sparkSession, given.source, given.catalog)
+    fresh = seen_links.unseen(first_links(links), name).orderBy("page_id", "pos")
+    fresh = (fresh if given.limit is None else fresh.limit(given.limit)).persist(StorageLevel.MEMORY_AND_DISK)
+    files.write_csv(fresh.select("page_id", "pos", "link"), given.out)
+    seen_links.record(fresh, name)
+    fresh.unpersist()
 
 
 def stream_records(spark: SparkSession, given: argparse.Namespace) -> None:
@@ -44,6 +54,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--mode", choices=("louer", "vendre", "acheter"), default="louer")
     args.add_argument("--what", choices=("records", "links", "stream"), default="records")
     args.add_argument("--limit", type=int, help="links in all, in crawl order")
+    args.add_argument("--new", action="store_true", help="only links that no earlier run gave")
     args.add_argument("--per-page", type=int, help="links of a page, 0 for all; 25 for source M if not given, as its crawler has it")
     args.add_argument("--sink", choices=("kafka", "csv"), default="kafka")
     args.add_argument("--out", help="folder for CSV files, and for what a stream writes")
