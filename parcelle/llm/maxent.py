@@ -7,8 +7,11 @@ take gradient steps over their part of the round's documents, from weights all s
 changes are averaged by the words they were learned from. Scoring is batches of sparse rows:
 each word picks its features' rows of the weights.
 
-Frequent words, classes and weights have fixed sizes and go to all tasks. Counts of all other
-words stay a table that is joined, so nothing grows on the driver.
+Classes and rows of the weights follow the number of different words, up to bounds, and go to all
+tasks, as do the counts of frequent words. Counts of all other words stay a table that is joined,
+so nothing grows without bound on the driver. Texts are read in slices of bounded size, words
+are numbers from prefix polynomials, and no task keeps words. A part of the training holds so many
+tokens, whatever the cluster.
 """
 
 from __future__ import annotations
@@ -17,74 +20,80 @@ from copy import copy
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import Words, cut, documents, mixed, raw_texts
+from parcelle.llm.common import BLANKS, cut, documents, mixed, raw_texts
+from parcelle.llm.grams import Splitter, slices
 
 SMOOTH = 0.1
 #: Words that are a class each; all others fall into classes by their endings.
-OWN_CLASSES, END_CLASSES = 15, 17
-CLASSES = OWN_CLASSES + END_CLASSES
+OWN_CLASSES = 15
+#: Classes of a small vocabulary, and at most: four more for each doubling above 2**20 words.
+CLASSES, MOST_CLASSES = 32, 64
 #: Words whose counts every task has at hand.
 FREQUENT = 1 << 18
-FEATURE_BITS = 14
+#: Rows of the weights as a power of two: a 64th of the different words, between these.
+FEATURE_BITS, MOST_FEATURE_BITS = 14, 17
 FEATURES = 3
 ROUNDS = 3
 RATE = 0.5
 BATCH = 4096
-_MOST_WORDS = 2_000_000
-_END, _START = b"\n", b" "  # no word is one of these
+#: Tokens of a part of the training, about; its task sends one change of the weights.
+TOKENS_OF_A_PART = 8_000_000
+#: Different words that a task counts before they leave it.
+MOST_KEPT = 300_000
 _ROWS_SENT = 1 << 11
+_START, _END = np.uint64(0x9E6C63D0876A9A4B), np.uint64(0xC2B2AE3D27D4EB4F)
+_SEPARATORS = BLANKS.encode()
+_LOWER = np.arange(256, dtype=np.uint64)
+_LOWER[65:91] += np.uint64(32)
+_SIGN = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+def splitter() -> Splitter:
+    return Splitter(_SEPARATORS, lower=True)
 
 
-def facts(word: bytes) -> tuple:
-    """Hash of a word, its class by ending, and its rows of the weights as the last word and as the one before that."""
-    value = word_hash(word)
-    ending = OWN_CLASSES + xxhash.xxh3_64_intdigest(word.rstrip(b".,;:!?")[-2:]) % END_CLASSES
-    return np.uint64(value), ending, value >> (64 - FEATURE_BITS), xxhash.xxh3_64_intdigest(word, 1) >> (64 - FEATURE_BITS)
+def classes_for(words: int) -> int:
+    return min(MOST_CLASSES, CLASSES + 4 * max(0, words.bit_length() - 20))
 
 
-_TABLE = Words(facts, [np.uint64, np.int32, np.int32, np.int32])
+def bits_for(words: int) -> int:
+    return min(MOST_FEATURE_BITS, max(FEATURE_BITS, words.bit_length() - 6))
 
 
-def columns() -> list[np.ndarray]:
-    """What :func:`facts` gives for the words that this worker has read."""
-    return _TABLE.columns
+class Tokens:
+    """The tokens of some texts, one text after the other: a number and an ending for each.
 
-
-def counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different numbers among many small ones, and how often each is there."""
-    n = np.bincount(rows)
-    found = np.flatnonzero(n)
-    return found, n[found]
-
-
-def read_words(raw: list[bytes], ends_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of the word table for all texts one after the other, where each text starts, and its tokens.
-
-    A text is its words, then one end; two starts stand before it unless ``ends_only``.
+    A text is its words, then one end; two starts stand before it. ``places`` are those of the
+    tokens, ``sizes`` how many each text has. The ending is a number made of a word's last two
+    bytes, without a sign at its end.
     """
-    if len(_TABLE) > _MOST_WORDS:
-        _TABLE.clear()
-    words: list[bytes] = []
-    sizes = []
-    for text in raw:
-        found = text.lower().split()
-        if not ends_only:
-            words += (_START, _START)
-        words += found
-        words.append(_END)
-        sizes.append(len(found) + 1)
-    rows = np.fromiter(map(_TABLE.__getitem__, words), np.int64, len(words))
-    sizes = np.array(sizes, np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes + (0 if ends_only else 2))])[:-1]
-    return rows, starts, sizes
+
+    def __init__(self, split: Splitter, texts: list[bytes]):
+        data = np.frombuffer(b"\n".join(texts), np.uint8)
+        starts, ends, hashes = split.words(data)
+        text = np.searchsorted(np.cumsum([0] + [len(t) + 1 for t in texts[:-1]]), starts, "right") - 1
+        words = np.bincount(text, minlength=len(texts))
+        self.sizes = words + 1
+        self.numbers = np.full(len(starts) + 3 * len(texts), _START)
+        self.endings = np.zeros(len(self.numbers), np.uint64)
+        self.ends = np.cumsum(self.sizes + 2) - 1
+        at = np.arange(len(starts)) + 3 * text + 2
+        self.numbers[at], self.numbers[self.ends] = hashes, _END
+        if len(starts):
+            last = ends - 1
+            last = last - (_SIGN[data[last]] & (last > starts))
+            before = np.maximum(last - 1, starts)
+            self.endings[at] = _LOWER[data[before]] << np.uint64(8) | _LOWER[data[last]]
+        self.places = np.arange(int(self.sizes.sum())) + np.repeat(2 * np.arange(1, len(texts) + 1), self.sizes)
+
+
+def token_slices(batch_texts: list[bytes], split: Splitter):
+    """Ranges of texts and their tokens."""
+    for a, b in slices(batch_texts):
+        yield a, b, Tokens(split, batch_texts[a:b])
 
 
 def _is_held_out(key):
@@ -92,31 +101,35 @@ def _is_held_out(key):
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``word`` (hash), ``ending`` (class by ending) and count ``n`` of each token of the texts, their ends included."""
+    """``word`` (its number), ``ending`` and count ``n`` of each token of the texts, their ends included."""
     def run(batches):
-        hashes, endings, counts, held = [], [], [], 0
+        split = splitter()
+        kept: list[tuple] = []
+        held = 0
+
+        def summed() -> tuple:
+            words, endings, counts = (np.concatenate(x) for x in zip(*kept))
+            found, first, of = np.unique(words, return_index=True, return_inverse=True)
+            return found, endings[first], np.bincount(of, counts).astype(np.int64)
 
-        def flush():
-            h, e, n = (np.concatenate(x) for x in (hashes, endings, counts))
-            found, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            total = np.bincount(inverse, n).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(e[first].astype(np.int64)), pa.array(total)], ["word", "ending", "n"])
+        def row(words, endings, counts) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(endings.astype(np.int64)), pa.array(counts)], ["word", "ending", "n"])
 
         for batch in batches:
-            rows, _, _ = read_words(raw_texts(batch.column(0)), ends_only=True)
-            if len(rows):
-                found, n = counted(rows)
-                hashes.append(columns()[0][found])
-                endings.append(columns()[1][found])
-                counts.append(n)
+            for _, _, part in token_slices(raw_texts(batch.column(0)), split):
+                found, first, counts = np.unique(part.numbers[part.places], return_index=True, return_counts=True)
+                kept.append((found, part.endings[part.places[first]], counts))
                 held += len(found)
-            if held > 3_000_000:
-                yield flush()
-                hashes, endings, counts, held = [], [], [], 0
+                if held > 2 * MOST_KEPT:
+                    kept = [summed()]
+                    held = len(kept[0][0])
+                    if held > MOST_KEPT:
+                        yield row(*kept[0])
+                        kept, held = [], 0
         if held:
-            yield flush()
+            yield row(*summed())
 
-    return texts.mapInArrow(run, "word long, ending long, n long").groupBy("word").agg(F.first("ending").alias("ending"), F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "word long, ending long, n long").groupBy("word").agg(F.min("ending").alias("ending"), F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -133,43 +146,34 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
 
 
 class Model:
-    """Classes and weights, of a fixed size; what tasks need to train and to score."""
+    """Classes and weights; what tasks need to train and to score."""
 
-    def __init__(self, own: list[int], prior: np.ndarray):
+    def __init__(self, own: list[int], prior: np.ndarray, bits: int = FEATURE_BITS):
         self.own = np.array(sorted(own), np.int64)
         self.own_class = np.array([own.index(h) for h in self.own.tolist()], np.int32)
-        self.prior = prior.astype(np.float32)
-        self.weights = np.zeros((1 << FEATURE_BITS, CLASSES), np.float32)
-        self.squares = np.zeros(1 << FEATURE_BITS, np.float32)
+        self.prior, self.bits = prior.astype(np.float32), bits
+        self.weights = np.zeros((1 << bits, len(prior)), np.float32)
+        self.squares = np.zeros(1 << bits, np.float32)
 
-    def classes(self, hashes: np.ndarray, endings: np.ndarray) -> np.ndarray:
-        out = endings.copy()
+    def classes(self, numbers: np.ndarray, endings: np.ndarray) -> np.ndarray:
+        out = class_of_ending(endings, len(self.prior))
         if len(self.own):
-            signed = hashes.view(np.int64)
+            signed = numbers.view(np.int64)
             at = np.minimum(np.searchsorted(self.own, signed), len(self.own) - 1)
             found = self.own[at] == signed
             out[found] = self.own_class[at[found]]
         return out
 
+    def features(self, numbers: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rows of the weights, feature by feature, for the tokens at the places ``at`` of a sequence of words."""
+        last, before = numbers[at - 1], numbers[at - 2]
+        right = np.uint64(64 - self.bits)
+        return np.stack([(mixed(x) >> right).astype(np.int32) for x in (
+            last, last * np.uint64(3) + before, before ^ np.uint64(0x5851F42D4C957F2D))])
 
-    def classes_of(self, rows: np.ndarray) -> np.ndarray:
-        """Classes of rows of the word table."""
-        hashes, endings, *_ = columns()
-        present, _ = counted(rows)
-        of_row = np.zeros(len(hashes), np.int32)
-        of_row[present] = self.classes(hashes[present], endings[present])
-        return of_row[rows]
 
-
-def features(words: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Rows of the weights, feature by feature, for the tokens at the places ``at`` of a sequence of rows of the word table.
-
-    Two starts stand before each text.
-    """
-    hashes, _, as_last, as_before = columns()
-    last, before = words[at - 1], words[at - 2]
-    both = mixed(hashes[last] * np.uint64(3) + hashes[before]) >> np.uint64(64 - FEATURE_BITS)
-    return np.stack([as_last[last], both.astype(np.int32), as_before[before]])
+def class_of_ending(endings: np.ndarray, classes: int) -> np.ndarray:
+    return (OWN_CLASSES + mixed(endings + np.uint64(1)) % np.uint64(classes - OWN_CLASSES)).astype(np.int32)
 
 
 def logits(model: Model, rows: np.ndarray) -> np.ndarray:
@@ -206,29 +210,22 @@ def step(model: Model, rows: np.ndarray, classes: np.ndarray) -> None:
     model.weights[touched] -= RATE * sums / np.sqrt(model.squares[touched] + 1)[:, None]
 
 
-def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Places of the tokens of texts that start with two starts each."""
-    total = int(sizes.sum())
-    skipped = np.repeat(starts + 2 - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-    return np.arange(total) + skipped
+def train(texts: DataFrame, model: Model, parts: int) -> Model:
+    """The model after one round over the texts, which are taken together to so many parts."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
 
-
-def train(texts: DataFrame, model: Model) -> Model:
-    """The model after one round over the texts."""
     def learn(batches):
+        model, split = shared.value, splitter()
         own = copy(model)
         own.weights, own.squares = model.weights.copy(), model.squares.copy()
         seen = 0
         for batch in batches:
-            rows, starts, sizes = read_words(raw_texts(batch.column(0)))
-            if not len(sizes):
-                continue
-            classes = own.classes_of(rows)
-            at = _places(starts, sizes)
-            for k in range(0, len(at), BATCH):
-                part = at[k:k + BATCH]
-                step(own, features(rows, part), classes[part])
-            seen += len(at)
+            for _, _, part in token_slices(raw_texts(batch.column(0)), split):
+                classes = own.classes(part.numbers, part.endings)
+                for k in range(0, len(part.places), BATCH):
+                    at = part.places[k:k + BATCH]
+                    step(own, own.features(part.numbers, at), classes[at])
+                seen += len(part.places)
         if seen:
             change = np.concatenate([own.weights - model.weights, (own.squares - model.squares)[:, None]], axis=1)
             blocks = [change[k:k + _ROWS_SENT].tobytes() for k in range(0, len(change), _ROWS_SENT)]
@@ -247,12 +244,12 @@ def train(texts: DataFrame, model: Model) -> Model:
                 ["block", "seen", "change"])
 
     schema = "block long, seen long, change binary"
-    # As many tasks as the cluster can run a few times over: each sends a change of the size of the weights.
-    texts = texts.coalesce(3 * texts.sparkSession.sparkContext.defaultParallelism)
+    # Each part sends a change of the size of the weights.
+    texts = texts.coalesce(parts)
     # The sums of a block pass through one task as a stream; there are as many rows as the weights have blocks.
-    changes = texts.mapInArrow(learn, schema).repartition(max(1, (1 << FEATURE_BITS) // _ROWS_SENT), "block").mapInArrow(average, schema)
-    for block, _, change in changes.collect():
-        found = np.frombuffer(bytes(change), np.float32).reshape(-1, CLASSES + 1)
+    changes = texts.mapInArrow(learn, schema).repartition(len(model.weights) // _ROWS_SENT, "block").mapInArrow(average, schema)
+    for block, _, change in changes.toLocalIterator():
+        found = np.frombuffer(bytes(change), np.float32).reshape(-1, model.weights.shape[1] + 1)
         part = slice(block * _ROWS_SENT, block * _ROWS_SENT + len(found))
         model.weights[part] += found[:, :-1]
         model.squares[part] += found[:, -1]
@@ -273,58 +270,65 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds
     tokens, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     known = most_frequent(counts, frequent).toPandas().sort_values(["n", "word"], ascending=[False, True])  # of a fixed size
     own = known["word"].head(OWN_CLASSES).tolist()
+    classes, bits = classes_for(vocabulary), bits_for(vocabulary)
     of_ending = counts.where(~F.col("word").isin(own)).groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("types"))
-    totals, types = np.zeros(CLASSES), np.ones(CLASSES)
-    for ending, n, kinds in of_ending.collect():  # a row for each class at most
-        totals[ending], types[ending] = n, kinds + 1
+    totals, types = np.zeros(classes), np.ones(classes)
+    for ending, n, kinds in of_ending.toLocalIterator():  # a row for each two bytes at most
+        at = class_of_ending(np.array([ending], np.int64).view(np.uint64), classes)[0]
+        totals[at] += n
+        types[at] += kinds
     totals[:len(own)] = known["n"].head(OWN_CLASSES)
     inside = totals + SMOOTH * types
     prior = np.log((totals + SMOOTH) / (totals + SMOOTH).sum())
-    model = Model(own, prior)
+    model = Model(own, prior, bits)
     part = F.pmod(F.xxhash64("key", "text"), F.lit(rounds))
     for k in range(rounds):
-        model = train(learned.where(part == k).select("text"), model)
+        model = train(learned.where(part == k).select("text"), model, max(1, tokens // (rounds * TOKENS_OF_A_PART)))
 
     by_word = known.sort_values("word")
-    frequent_words, frequent_logs = by_word["word"].to_numpy(np.int64), np.log10(by_word["n"].to_numpy(np.float64) + SMOOTH)
-    inside_logs = np.log10(inside)
+    shared = docs.sparkSession.sparkContext.broadcast((
+        model, by_word["word"].to_numpy(np.int64), np.log10(by_word["n"].to_numpy(np.float64) + SMOOTH), np.log10(inside)))
+
+    def score(part: Tokens, model: Model, frequent_words, frequent_logs, inside_logs) -> list[pa.Array]:
+        at = part.places
+        classes = model.classes(part.numbers, part.endings)
+        logs = np.empty(len(at))
+        for k in range(0, len(at), BATCH):
+            place = at[k:k + BATCH]
+            logs[k:k + BATCH] = log_chances(model, model.features(part.numbers, place), classes[place]) / np.log(10) - inside_logs[classes[place]]
+        signed = part.numbers[at].view(np.int64)
+        is_known, words = np.zeros(len(at), bool), np.zeros(len(at))
+        if len(frequent_words):
+            near = np.minimum(np.searchsorted(frequent_words, signed), len(frequent_words) - 1)
+            is_known = frequent_words[near] == signed
+            words[is_known] = frequent_logs[near[is_known]]
+        sizes = part.sizes
+        first = np.cumsum(sizes) - sizes
+        text_of, rare = np.repeat(np.arange(len(sizes)), sizes)[~is_known], signed[~is_known]
+        order = np.lexsort((rare, text_of))
+        rare, text_of = rare[order], text_of[order]
+        new = np.ones(len(rare), bool)
+        new[1:] = (rare[1:] != rare[:-1]) | (text_of[1:] != text_of[:-1])
+        begins = np.flatnonzero(new)
+        times = np.diff(np.append(begins, len(rare)))
+        offsets = pa.array(np.searchsorted(text_of[begins], np.arange(len(sizes) + 1)), pa.int32())
+        sums = [np.add.reduceat(x, first) for x in (is_known.astype(np.int64), words, logs)]
+        return [
+            pa.array(sizes), *map(pa.array, sums), pa.ListArray.from_arrays(offsets, pa.array(rare[begins])),
+            pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))]
 
     def run(batches):
+        split, given = splitter(), shared.value
         for batch in batches:
-            found, starts, sizes = read_words(raw_texts(batch.column(2)))
-            classes = model.classes_of(found)
-            at = _places(starts, sizes)
-            logs = np.empty(len(at))
-            for k in range(0, len(at), BATCH):
-                place = at[k:k + BATCH]
-                logs[k:k + BATCH] = log_chances(model, features(found, place), classes[place]) / np.log(10) - inside_logs[classes[place]]
-            hashes = columns()[0].view(np.int64)
-            known_row, log_row = np.zeros(len(hashes), bool), np.zeros(len(hashes))
-            if len(frequent_words):
-                present, _ = counted(found)
-                near = np.minimum(np.searchsorted(frequent_words, hashes[present]), len(frequent_words) - 1)
-                known_row[present] = frequent_words[near] == hashes[present]
-                log_row[present] = np.where(known_row[present], frequent_logs[near], 0.0)
-            signed, is_known, words = hashes[found[at]], known_row[found[at]], log_row[found[at]]
-            first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-            text_of = np.repeat(np.arange(len(sizes)), sizes)[~is_known]
-            rare = signed[~is_known]
-            order = np.lexsort((rare, text_of))
-            rare, text_of = rare[order], text_of[order]
-            new = np.ones(len(rare), bool)
-            new[1:] = (rare[1:] != rare[:-1]) | (text_of[1:] != text_of[:-1])
-            begins = np.flatnonzero(new)
-            times = np.diff(np.append(begins, len(rare)))
-            offsets = np.searchsorted(text_of[begins], np.arange(len(sizes) + 1))
-            lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(v, pa.int64())) for v in (rare[begins], times)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(3), pa.array(sizes), pa.array(np.add.reduceat(is_known.astype(np.int64), first)),
-                 pa.array(np.add.reduceat(words, first)), pa.array(np.add.reduceat(logs, first)), *lists],
-                ["key", "held_out", "row", "n_tokens", "n_known", "words", "classes", "rare", "times"])
+            for a, b, part in token_slices(raw_texts(batch.column(2)), split):
+                rows = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), rows.column(1), rows.column(3), *score(part, *given)],
+                    ["key", "held_out", "row", "n_tokens", "n_known", "words", "classes", "rare", "times"])
 
     kind = rows.schema["key"].dataType.simpleString()
     scored = cut(rows.select("key", "held_out", "text", "row").mapInArrow(
-        run, f"key {kind}, held_out boolean, row long, n_tokens long, n_known long, words double, classes double, rare array<long>, times array<long>"))
+        run, f"key {kind}, held_out boolean, row long, n_tokens long, n_known long, words double, classes double, rare array<long>, times array<int>"))
     # What is not among the frequent words: the counts of the others are joined word by word, once for each text.
     others = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
     joined = others.join(counts.select("word", "n"), "word", "left")
