@@ -13,9 +13,12 @@ from parcelle.plans import silver
 from parcelle.queries import inputs as I
 from parcelle.queries.registry import query
 from parcelle.schemas import PAYLOAD_A, PAYLOAD_M, SILVER
+from parcelle.sources import labels, latest
 
 AS_OF = "1998-01-01 00:00:00"
 FRESH_MINUTES = 500_000
+#: Before it a table of newest rows was made, after it come the rows merged into it.
+MERGED_AT = "1995-06-17 00:00:00"
 LIST_MARK = " ## "
 
 c = F.col
@@ -32,6 +35,10 @@ def _with(*names: str) -> str:
         "fresh_a": "SELECT * FROM listing_a WHERE ingest_ts >= "
                    f"TIMESTAMP '{AS_OF}' - INTERVAL '{FRESH_MINUTES}' MINUTE",
         "latest_fresh_a": _latest("fresh_a"),
+        "early_a": f"SELECT * FROM listing_a WHERE ingest_ts < TIMESTAMP '{MERGED_AT}'",
+        "late_a": f"SELECT * FROM listing_a WHERE ingest_ts >= TIMESTAMP '{MERGED_AT}'",
+        "latest_early_a": _latest("early_a"),
+        "latest_late_a": _latest("late_a"),
         "broken": I.BROKEN_LINES,
         "frame": I.KAFKA_FRAME,
         "sparse": I.SPARSE_FRAME,
@@ -261,6 +268,16 @@ def latest_per_id(spark, sf_dir):
     return _comparable(payloads.parse_payload(newest, PAYLOAD_A, ["id", "title"]))
 
 
+@query(_with("listing_a", "early_a", "late_a", "latest_early_a", "latest_late_a") + f"""
+SELECT id, url, title, ingest_ts FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingest_ts DESC) AS age
+ FROM (SELECT * FROM latest_early_a WHERE {HAS_URL} UNION ALL SELECT * FROM latest_late_a WHERE {HAS_URL})) WHERE age = 1""")
+def latest_merged(spark, sf_dir):
+    raw, at = I.raw_a(spark, sf_dir), F.lit(MERGED_AT).cast("timestamp")
+    there, rows = (latest.keyed(silver.silver_a(raw.where(kept))) for kept in (c("ingest_ts") < at, c("ingest_ts") >= at))
+    found = latest.merged(there, latest.changed(there, rows))
+    return _comparable(found.select("id", "url", "title", "ingest_ts"))
+
+
 @query(_with("listing_a") + f"SELECT id, url, title FROM listing_a WHERE {HAS_URL}")
 def valid_url(spark, sf_dir):
     return versions.valid_url(_a(spark, sf_dir, "id", "url", "title")).drop("ingest_ts")
@@ -390,6 +407,13 @@ def distinct_attr_keys(spark, sf_dir):
     return attributes.distinct_keys(_bags_a(spark, sf_dir), c("bag"))
 
 
+@query(_with("listing_a") + f"""
+SELECT k AS label, min(CAST(ingest_ts AS DATE)) AS first_day
+FROM (SELECT unnest(json_keys({_object('attributes')})) AS k, ingest_ts FROM listing_a) GROUP BY k""")
+def attr_labels(spark, sf_dir):
+    return labels.labels_of(I.raw_a(spark, sf_dir), PAYLOAD_A, "attributes")
+
+
 @query(_with("listing_a", "listing_m") + f"""
 SELECT k, lower(trim(regexp_replace(strip_accents(k), '[^0-9a-zA-Z]+', '_', 'g'), '_')) AS name
 FROM ({_keys_sql('listing_a', 'attributes')} UNION {_keys_sql('listing_m', 'features_main_json')})""")

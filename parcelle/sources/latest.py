@@ -61,10 +61,11 @@ def _version(of: str) -> Column:
 
 def changed(there: DataFrame, rows: DataFrame) -> DataFrame:
     """Of the rows' newest versions those that the table does not have, or has an older one of."""
-    old = there.select(KEY.name, *ORDER).alias("old")
+    # Merged in the table's order of buckets, however small the statistics say it is.
+    old = there.select(KEY.name, *ORDER).withColumn("_old", F.lit(True)).hint("merge").alias("old")
     newer = F.col("_old").isNull() | (_version("new") > _version("old"))
     return (
-        rows.alias("new").join(old.withColumn("_old", F.lit(True)).alias("old"), KEY.name, "left").where(newer)
+        rows.alias("new").join(old, KEY.name, "left").where(newer)
         .select(KEY.name, *(F.col(f"new.{name}") for name in rows.columns if name != KEY.name))
     )
 
@@ -72,7 +73,7 @@ def changed(there: DataFrame, rows: DataFrame) -> DataFrame:
 def merged(there: DataFrame, changes: DataFrame) -> DataFrame:
     """The table's rows, with the changes in place of what they are newer than. Either side has a key once."""
     names = [name for name in changes.columns if name != KEY.name]
-    both = there.alias("old").join(changes.withColumn("_new", F.lit(True)).alias("new"), KEY.name, "full")
+    both = there.alias("old").join(changes.withColumn("_new", F.lit(True)).hint("merge").alias("new"), KEY.name, "full")
     return both.select(KEY.name, *(F.when(F.col("_new"), F.col(f"new.{n}")).otherwise(F.col(f"old.{n}")).alias(n) for n in names))
 
 
