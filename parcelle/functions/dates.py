@@ -45,6 +45,11 @@ def absolute_date(text: Column, seen_at: Column) -> Column:
     return F.when(text != "", F.date_format(when, V.DATE_FORMAT))
 
 
+def published_time(text: Column) -> Column:
+    """The time a formatted date stands for; NULL for any other text."""
+    return F.try_to_timestamp(text, F.lit(V.DATE_FORMAT))
+
+
 def date_problem(text: Column, seen_at: Column) -> Column:
     """What is wrong with a relative date that leads out of the calendar; NULL if nothing is."""
     return F.when((text != "") & seen_at.isNotNull() & ~_in_calendar(text, seen_at), F.lit("date value out of range"))

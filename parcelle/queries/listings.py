@@ -591,6 +591,12 @@ def silver_all(spark, sf_dir):
     return _comparable(_all(spark, sf_dir))
 
 
+@query(SILVER_ALL + "SELECT site, id, TRY_CAST(published_date AS TIMESTAMP) AS published_at FROM silver")
+def published_time(spark, sf_dir):
+    rows = _all(spark, sf_dir, "site", "id", "published_date")
+    return _comparable(rows.select("site", "id", dates.published_time(c("published_date")).alias("published_at")))
+
+
 @query(SILVER_ALL + "SELECT id, title, price, city, offre FROM silver ORDER BY site, id LIMIT 5")
 def silver_sample(spark, sf_dir):
     return _all(spark, sf_dir, "site", "id", "title", "price", "city", "offre").orderBy("site", "id").limit(5).select(

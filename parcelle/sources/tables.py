@@ -92,6 +92,11 @@ def create_silver_table(
     return name
 
 
+def create_typed_view(spark: SparkSession, table: str, view: str) -> None:
+    """A view of a unified table with the date of publication as a time, ``published_at``, beside its text."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT *, try_to_timestamp(published_date, '{V.DATE_FORMAT}') AS published_at FROM {table}")
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 

@@ -84,6 +84,15 @@ def test_overwriting_one_site_keeps_the_other(spark, silver_table):
     assert found == [("other", 1), ("other", 2), ("s", 1), ("s", 2)]
 
 
+def test_typed_view(spark, silver_table):
+    dated = rows(spark, 1, 2, 3).withColumn("published_date", F.when(F.col("id") == "id0", "2025-10-31 10:00:00").when(F.col("id") == "id1", "soon"))
+    tables.write_silver(dated, silver_table, provider=tables.PARQUET)
+    tables.create_typed_view(spark, silver_table, "silver.listings_typed")
+    got = {r.id: r.published_at for r in spark.table("silver.listings_typed").collect()}
+    assert got == {"id0": dt.datetime(2025, 10, 31, 10, 0), "id1": None, "id2": None}
+    spark.sql("DROP VIEW silver.listings_typed")
+
+
 def test_site_must_be_there(spark, silver_table):
     with pytest.raises(PySparkException):
         tables.write_silver(rows(spark, 1, site=None), silver_table, provider=tables.PARQUET)
