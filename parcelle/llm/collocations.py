@@ -52,26 +52,42 @@ class _Slice:
         n = max(0, len(self.starts) - size + 1)
         return self.piece[:n] == self.piece[size - 1:size - 1 + n]
 
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """A number for each word, the same for the same bytes (A-Z as a-z), and the place of the first of each."""
-        _, first, of = np.unique(self.hashes, return_index=True, return_inverse=True)
+    def joined(self) -> None:
+        """Lays the words one after the other, A-Z as a-z and one space after each, so that a run is one stretch of bytes."""
         sizes = self.ends - self.starts
-        same = first[of]
-        if (sizes == sizes[same]).all():
-            within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            low = _LOWER[self.data]
-            if (low[np.repeat(self.starts, sizes) + within] == low[np.repeat(self.starts[same], sizes) + within]).all():
-                return of, first
+        at = _stretches(self.starts, sizes)
+        self.starts = np.cumsum(sizes + 1) - (sizes + 1)
+        self.ends = self.starts + sizes
+        data = np.full(int(sizes.sum()) + len(sizes), 32, np.uint8)
+        data[_stretches(self.starts, sizes)] = _LOWER[self.data[at]]
+        self.data = data
+
+    def words(self) -> np.ndarray:
+        """A number for each of the joined words, the same for the same bytes."""
+        _, first, of = np.unique(self.hashes, return_index=True, return_inverse=True)
+        sizes, same = self.ends - self.starts, first[of]
+        if (sizes == sizes[same]).all() and (self.data[_stretches(self.starts, sizes)] == self.data[_stretches(self.starts[same], sizes)]).all():
+            return of
         seen: dict[bytes, int] = {}  # two words have one number
-        raw = _LOWER[self.data].tobytes()
-        of = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(self.starts, self.ends)], np.int64)
-        return of, np.unique(of, return_index=True)[1]
+        raw = self.data.tobytes()
+        return np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(self.starts, self.ends)], np.int64)
+
+    def phrases(self, places: np.ndarray, size: int) -> pa.Array:
+        """The texts of the runs of ``size`` joined words at some places."""
+        sizes = self.ends[places + size - 1] - self.starts[places]
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.Array.from_buffers(pa.string(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(self.data[_stretches(self.starts[places], sizes)])])
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def _stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of stretches of bytes, one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 def _rows(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     return docs.select(F.col(text).alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(key).cast("long").alias("key"))
 
@@ -130,37 +146,24 @@ def materialised(docs: DataFrame, frequent: list[Filter], key: str, text: str, l
 
     def run(batches):
         splitter, passes = Splitter(_SEPARATORS, lower=True), shared.value
-        kept: dict[tuple, list] = {}
 
-        def rows() -> pa.RecordBatch:
-            names, facts = list(kept), list(kept.values())
-            seen = [f[1] for f in facts]
+        def rows(langs: pa.Array, phrases_: pa.Array, size: int, counts: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([
-                pa.array([x[0] for x in names], pa.string()), pa.array([x[1] for x in names], pa.binary()).cast(pa.string()), pa.array([x[2] for x in names], pa.int32()),
-                pa.array([f[0] for f in facts], pa.int64()), pa.array(seen, pa.int64(), mask=np.array(seen, np.int64) == _LAST),
+                langs, phrases_, pa.array(np.full(len(counts), size, np.int32)), pa.array(counts.astype(np.int64)), pa.array(seen, mask=seen == _LAST),
             ], ["lang", "phrase", "size", "n", "seen_in"])
 
-        def keep(lang, phrase, size, n, seen) -> None:
-            fact = kept.get((lang, phrase, size))
-            if fact is None:
-                kept[lang, phrase, size] = [n, seen]
-            else:
-                fact[0] += n
-                fact[1] = min(fact[1], seen)
-
         for batch in batches:
-            names = batch.column(1).to_pylist()
             keys = batch.column(2).fill_null(_LAST).to_numpy(zero_copy_only=False)
             for a, part in _sliced(batch, splitter):
                 if not len(part.starts):
                     continue
-                runs, (of, first) = Runs(part.hashes), part.words()
-                raw = _LOWER[part.data].tobytes()
-                word = [raw[x:y] for x, y in zip(part.starts[first].tolist(), part.ends[first].tolist())]
-                langs, in_lang = np.unique(part.lang, return_inverse=True)
+                part.joined()
+                runs, of = Runs(part.hashes), part.words()
+                kinds = int(of.max()) + 1
+                _, first, in_lang, counts = np.unique(part.lang, return_index=True, return_inverse=True, return_counts=True)
+                lang_of = batch.column(1).take(pa.array(part.text[first] + a))
                 doc = keys[part.text + a]
-                for lang_at, n in enumerate(np.bincount(in_lang).tolist()):
-                    keep(names[a + int(part.text[np.argmax(in_lang == lang_at)])], b"", 0, n, _LAST)
+                yield rows(lang_of, pa.array([""] * len(first)), 0, counts, np.full(len(first), _LAST))
                 same = in_lang.astype(np.int64)  # a number for each run, the same for the same words
                 for size, passes_size in enumerate(passes, 1):
                     n = len(of) - size + 1
@@ -168,20 +171,12 @@ def materialised(docs: DataFrame, frequent: list[Filter], key: str, text: str, l
                         break
                     at = np.flatnonzero(part.within(size) & passes_size(part.fingerprints(runs, size)))
                     # Of all runs, as longer ones build on them.
-                    _, same = np.unique(same[:n] * len(first) + of[size - 1:], return_inverse=True)
+                    _, same = np.unique(same[:n] * kinds + of[size - 1:], return_inverse=True)
                     _, place, group, counts = np.unique(same[at], return_index=True, return_inverse=True, return_counts=True)
                     seen = np.full(len(place), _LAST)
                     np.minimum.at(seen, group, doc[at])
                     there = at[place]
-                    ids = np.stack([of[there + k] for k in range(size)], 1).tolist() if len(there) else []
-                    row_of = (part.text[there] + a).tolist()
-                    for k, (row, n, least) in enumerate(zip(row_of, counts.tolist(), seen.tolist())):
-                        keep(names[row], b" ".join([word[w] for w in ids[k]]), size, n, least)
-                if len(kept) > MOST_KEPT:
-                    yield rows()
-                    kept.clear()
-        if kept:
-            yield rows()
+                    yield rows(lang_of.take(pa.array(in_lang[there])), part.phrases(there, size), size, counts, seen)
 
     found = _rows(docs, key, text, lang).mapInArrow(run, "lang string, phrase string, size int, n long, seen_in long")
     return found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"), F.min("seen_in").alias("seen_in"))

@@ -85,6 +85,12 @@ def test_one_fingerprint_for_many_runs(spark, monkeypatch):
     assert got == brute_force(rows)
 
 
+def test_filters_that_let_all_through(spark, monkeypatch):
+    monkeypatch.setattr(grams.Filter.__init__, "__defaults__", (4,))
+    rows = texts(120, 10)
+    assert sorted(tuple(r)[:8] for r in spark_rows(spark, rows).collect()) == brute_force(rows)
+
+
 def test_small_buffers(spark, monkeypatch):
     """Tasks that keep and slice less give the same."""
     monkeypatch.setattr(module, "MOST_KEPT", 20)
