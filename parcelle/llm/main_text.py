@@ -9,6 +9,7 @@ read into flat lists, one entry for each element and each piece of text, in one
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from html import unescape
 
@@ -45,12 +46,20 @@ ASIDE = frozenset(
     "social related recommended recommendations teaser teasers login search searchbox pagination pager contentinfo complementary "
     "dialog alert copyright".split())
 
+#: What a name says that is about the wrapper and not of it, as in has-sidebar; such names count for nothing.
+ABOUT = frozenset("has no with without enabled disabled layout col row not is if".split())
+#: An element is left in, whatever its name, if it holds more than this share of the text: named wholly, or in part.
+MOST_NAMED, MOST_IN_PART = 0.9, 0.5
+
+# Quotes hold a value only after an equals sign; no part of a tag is read twice.
+_VALUE = r"""\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<with>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(?P<end2>/?)(?P<tag2>[A-Za-z][^\s/>]*+)(?P<with2>[^>]*+)>|[^<]++|<", re.S)
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<with>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE})?+)*+)>|[^<]++|<", re.S)
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?<![\w-])(?:hidden(?![\w-])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*(?:display\s*:\s*none|visibility\s*:\s*hidden))""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: How an element is marked: not, by a part of a name, by a whole name, by what it is.
+_NOT, _IN_PART, _NAMED, _ALWAYS = range(4)
 #: Points that a sibling needs in any case, and the share of the container's.
 LEAST_SIBLING, SIBLING_SHARE = 10.0, 0.2
 LEAST_PARAGRAPH = 25
@@ -60,30 +69,59 @@ class Page:
     """Elements of a page in the order of their starts, and its pieces of text."""
 
     def __init__(self, html: str):
-        self.tags, self.parents, self.unwanted, self.last = ["html"], [-1], [False], [0]
+        self.tags, self.parents, self.last, self._marks = ["html"], [-1], [0], [_NOT]
         self.pieces: list[tuple[int, int, str]] = []  # element, block, text
         self.block = 0
         self._stack, self._open = [0], Counter()
+        self._places: dict[str, list[int]] = {}  # of each tag: where on the stack it is open
         at = 0
         while at < len(html):
             m = _TOKEN.match(html, at)
-            at = m.end()
-            tag = m["tag"] or m["tag2"]
+            tag = m["tag"]
             if tag is None:
+                if m[0] == "<" and (html[at + 1:at + 2].isalpha() or html[at + 1:at + 2] == "/" and html[at + 2:at + 3].isalpha()):
+                    self.pieces.append((self._stack[-1], self.block, html[at:]))  # the page breaks off in a tag
+                    break
+                at = m.end()
                 if m[0][0] != "<" or m[0] == "<":
                     self.pieces.append((self._stack[-1], self.block, m[0]))
                 continue
+            at = m.end()
             tag = tag.lower()
-            if m["end"] or m["end2"]:
+            if m["end"]:
                 self._end(tag)
                 continue
-            self._start(tag, m["with"] or m["with2"] or "")
+            self._start(tag, m["with"])
             if tag in RAW:
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
                 at = close.end() if close else len(html)
                 self._end(tag)
         for element in self._stack:
             self.last[element] = len(self.tags) - 1
+        self.unwanted = self._judged()
+
+    def _judged(self) -> list[bool]:
+        """Elements that are no part of an article, nor is what is in them.
+
+        A name counts unless the element is around an article or its heading, or holds most of the text.
+        """
+        n = len(self.tags)
+        length, core = [0] * n, [tag in WHOLE or tag == "h1" for tag in self.tags]
+        gone = [False] * n
+        for e in range(1, n):
+            gone[e] = gone[self.parents[e]] or self._marks[e] == _ALWAYS
+        for element, _, text in self.pieces:
+            if not gone[element]:
+                length[element] += len(text)
+        for e in range(n - 1, 0, -1):
+            length[self.parents[e]] += length[e]
+            core[self.parents[e]] |= core[e] and not gone[e]
+        most = {_NOT: -1.0, _IN_PART: MOST_IN_PART * length[0], _NAMED: MOST_NAMED * length[0]}
+        for e in range(1, n):
+            mark = self._marks[e]
+            named = mark in (_IN_PART, _NAMED) and not core[e] and length[e] <= most[mark]
+            gone[e] = gone[self.parents[e]] or mark == _ALWAYS or named
+        return gone
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in ("html", "body") and self._open[tag] or tag == "html":
@@ -92,11 +130,10 @@ class Page:
             self._end("p")
         if tag in ENDS:
             closed, until = ENDS[tag]
-            for k in range(len(self._stack) - 1, 0, -1):
-                if self.tags[self._stack[k]] in until:
-                    break
-                if self.tags[self._stack[k]] in closed:
-                    self._cut(k)
+            above = max((self._places[t][-1] for t in until if self._places.get(t)), default=0)
+            lowest = [places[k] for t in closed if (places := self._places.get(t)) and (k := bisect_right(places, above)) < len(places)]
+            if lowest:
+                self._cut(min(lowest))
         if tag in BLOCKS:
             self.block += 1
         element = len(self.tags)
@@ -104,38 +141,41 @@ class Page:
         self.tags.append(tag)
         self.parents.append(parent)
         self.last.append(element)
-        self.unwanted.append(self.unwanted[parent] or self._is_aside(tag, attributes, parent))
+        self._marks.append(self._mark(tag, attributes, parent))
         if tag not in VOID and not attributes.rstrip().endswith("/"):
+            self._places.setdefault(tag, []).append(len(self._stack))
             self._stack.append(element)
             self._open[tag] += 1
         elif tag == "br":
             self.pieces.append((parent, self.block, " "))
 
-    def _is_aside(self, tag: str, attributes: str, parent: int) -> bool:
-        if tag in NO_TEXT:
-            return True
-        if tag == "header" and not self._open["article"]:
-            return True
+    def _mark(self, tag: str, attributes: str, parent: int) -> int:
+        if tag in NO_TEXT or tag == "header" and not self._open["article"]:
+            return _ALWAYS
         if tag in HEADINGS and self._open["article"] and self.tags[parent] == "header":
-            return False
+            return _NOT
         if tag in ("article", "main", "body") or not attributes:
-            return False
-        names = {part.lower() for m in _NAMES.finditer(attributes) for part in _PARTS.findall(m[1] or m[2] or m[3] or "")}
-        return not names.isdisjoint(ASIDE) or bool(_HIDDEN.search(attributes))
+            return _NOT
+        if _HIDDEN.search(attributes):
+            return _ALWAYS
+        mark = _NOT
+        for m in _NAMES.finditer(attributes):
+            for name in (m[1] or m[2] or m[3] or "").split():
+                parts = {part.lower() for part in _PARTS.findall(name)}
+                if not parts.isdisjoint(ASIDE) and parts.isdisjoint(ABOUT):
+                    mark = max(mark, _NAMED if name.lower() in ASIDE else _IN_PART)
+        return mark
 
     def _end(self, tag: str) -> None:
         if tag in BLOCKS:
             self.block += 1
-        if not self._open[tag]:
-            return
-        for k in range(len(self._stack) - 1, 0, -1):
-            if self.tags[self._stack[k]] == tag:
-                self._cut(k)
-                return
+        if self._places.get(tag):
+            self._cut(self._places[tag][-1])
 
     def _cut(self, k: int) -> None:
         for element in self._stack[k:]:
             self._open[self.tags[element]] -= 1
+            self._places[self.tags[element]].pop()
             self.last[element] = len(self.tags) - 1
         del self._stack[k:]
 
@@ -218,7 +258,8 @@ def extract_main_text(pages: DataFrame, html: str = "html") -> DataFrame:
     A missing or empty page, and one without any paragraph outside menus and the like, has an
     empty text. Of equally good containers the first is taken. Broken markup is read as
     browsers do in the common cases: open paragraphs, cells and items end where the next
-    begins, unclosed comments and scripts run to the end. Repeated rows each get a row, an
+    begins, unclosed comments and scripts run to the end. A name such as ``sidebar`` in a class, id
+    or role takes an element out, but not one that is around the article or holds most of the text. Repeated rows each get a row, an
     empty table gives an empty result, other columns are ignored.
     """
     rows = pages.select("page_id", "url", F.col(html).alias("html"))
