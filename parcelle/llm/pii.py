@@ -1,9 +1,11 @@
 """Personal data: fixed patterns, and identifiers that the same contexts as theirs give away.
 
-The matches of fixed patterns are seeds. A lexical pattern is the word before a mention and
-the outline of the mention, or the outline and the word after. Patterns and the different
-strings seen in them form a graph; Spark scores its two sides in turn: a pattern by the share
-of its strings that are known, a string by the best pattern it is seen in.
+The matches of fixed patterns are seeds. Mentions are seeds, words with a digit, numbers written in
+several words, and words around a written-out @. A lexical pattern is the word before a mention and
+its outline, the outline and the word after, or both words and only whether it has letters.
+Patterns and the different strings seen in them form a graph; Spark scores its two sides in
+turn: a pattern by the share of its strings that are known, a string by the best pattern it is
+seen in.
 """
 
 from __future__ import annotations
@@ -20,8 +22,9 @@ from parcelle.llm.secrets import SPANS, _SPAN, count_of, ordered, written
 
 # Kinds in their order, and their patterns.
 BASE_KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+LOCAL, DOMAIN = re.compile(r"[A-Za-z0-9._%+-]++"), re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")  # an @ between them
+#: From the first digit of a number only: from another one it would end alike.
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -36,6 +39,11 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGES = "\"'`.,;:!?()[]{}<>|*#$%&="
 _DIGIT = re.compile(r"[0-9]")
 _LETTERS = re.compile(r"[^\W\d_]+")
+#: Words that a written number may be made of, and how many digits it has.
+_NUMERIC = re.compile(r"[0-9+().-]+")
+LEAST_DIGITS, MOST_DIGITS = 7, 19
+#: An @ written out, as a word or between two.
+_AT = re.compile(r"(?<![^\x20\x09-\x0D])(?:[(\[{<]\x20?at\x20?[)\]}>])(?![^\x20\x09-\x0D])", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -46,11 +54,22 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """From each @ back over the local part and on over the domain, so that no run of characters is read twice."""
+    found, done, sign = [], 0, text.find("@")
+    while sign >= 0:
+        local = LOCAL.match(text[done:sign][::-1])
+        domain = local and DOMAIN.match(text, sign + 1)
+        if domain:
+            found.append((sign - local.end(), domain.end()))
+        done = domain.end() if domain else sign + 1
+        sign = text.find("@", done)
+    return found
+
+
 def seeds(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns, kind by kind."""
-    found = []
-    if "@" in text:
-        found += [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+    found = [("email", a, b) for a, b in emails(text)]
     if _DIGIT.search(text):
         found += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
         for m in CARD.finditer(text):
@@ -69,21 +88,41 @@ def outline(mention: str) -> str:
 
 def mentions(text: str, found: list) -> list[dict]:
     """Seeds, and other words with a digit, each with its outline and its neighbours."""
-    if not (found or _DIGIT.search(text)):
+    if not (found or _DIGIT.search(text) or _AT.search(text)):
         return []
     words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     starts = [a for a, _ in words]
     taken = sorted((a, b) for _, a, b in found)
     spans = [(kind, a, b) for kind, a, b in found]
-    for a, b in words:
+    def free(a: int, b: int) -> bool:
+        at = bisect_right(taken, (b,)) - 1
+        return not any(x < b and a < y for x, y in taken[max(0, at - 4):at + 2])
+
+    for sign in _AT.finditer(text):
+        at = bisect_right(starts, sign.start()) - 1
+        after = bisect_right(starts, sign.end() - 1)
+        if at > 0 and after < len(words) and free(words[at - 1][0], words[after][1]):
+            spans.append((None, words[at - 1][0], words[after][0] + len(text[slice(*words[after])].rstrip(_EDGES))))
+    in_run = tried = 0  # words up to there are in a written number, or in a run that is none
+    for k, (a, b) in enumerate(words):
         word = text[a:b]
-        if _DIGIT.search(word):
-            inner = word.strip(_EDGES)
-            a += word.find(inner)
-            b = a + len(inner)
-            at = bisect_right(taken, (b,)) - 1
-            if len(inner) >= 4 and not any(x < b and a < y for x, y in taken[max(0, at - 4):at + 2]):
-                spans.append((None, a, b))
+        if k < in_run or not _DIGIT.search(word):
+            continue
+        if k >= tried:
+            tried = k
+            while tried < len(words) and _NUMERIC.fullmatch(text, *words[tried]):
+                tried += 1
+            if tried > k + 1:
+                inner = text[a:words[tried - 1][1]].rstrip(_EDGES)
+                if LEAST_DIGITS <= sum(map(str.isdigit, inner)) <= MOST_DIGITS and free(a, a + len(inner)):
+                    spans.append((None, a, a + len(inner)))
+                    in_run = tried
+                    continue
+        inner = word.strip(_EDGES)
+        a += word.find(inner)
+        b = a + len(inner)
+        if len(inner) >= 4 and free(a, b):
+            spans.append((None, a, b))
     out = []
     for kind, a, b in spans:
         first = bisect_right(starts, a) - 1
@@ -94,11 +133,12 @@ def mentions(text: str, found: list) -> list[dict]:
         out.append({
             "kind": kind, "start": a, "end": b, "name": text[a:b],
             "left": f"{before.lower().strip(_EDGES)} {shape}", "right": f"{shape} {after.lower().strip(_EDGES)}",
+            "both": f"{before.lower().strip(_EDGES)} {'<letters>' if _LETTERS.search(text, a, b) else '<digits>'} {after.lower().strip(_EDGES)}" if before and after else None,
         })
     return out
 
 
-_MENTION = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("name", pa.string()), ("left", pa.string()), ("right", pa.string())]))
+_MENTION = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("name", pa.string()), ("left", pa.string()), ("right", pa.string()), ("both", pa.string())]))
 
 
 def _read(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -146,10 +186,10 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", roun
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    mention = "array<struct<kind:string,start:long,end:long,name:string,left:string,right:string>>"
+    mention = "array<struct<kind:string,start:long,end:long,name:string,left:string,right:string,both:string>>"
     found = cut(by_batch(rows, lambda: _read, f"key {kind}, base {SPANS}, seen {mention}").withColumn("row", F.monotonically_increasing_id()))
     seen = found.select("row", F.explode("seen").alias("m")).select("row", "m.*")
-    edges = seen.select("name", "kind", F.explode(F.array("left", "right")).alias("pattern"))
+    edges = seen.select("name", "kind", F.explode(F.array("left", "right", "both")).alias("pattern")).where("pattern IS NOT NULL")
     new = seen.where("kind IS NULL").join(discovered(edges, rounds), "name")
     spans = new.groupBy("row").agg(F.collect_list(F.struct(F.col("found").alias("kind"), "start", "end")).alias("more"))
     merged = found.join(spans, "row", "left")

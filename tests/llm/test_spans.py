@@ -4,6 +4,7 @@ import base64
 import random
 import re
 import string
+import time
 
 import pytest
 
@@ -106,6 +107,44 @@ def test_contexts_discover_identifiers(spark):
     assert got[101] == [] and got[0] == [("card", 8, 24)]
 
 
+def test_contexts_discover_other_spellings(spark):
+    rng = random.Random(4)
+    number = lambda k: f"{k:04d}"
+    docs = [(k, f"Phone: +1 984 555 {number(k)} today") for k in range(300)]
+    docs += [(1000 + k, f"mail u{k}@site.org now") for k in range(300)]
+    docs += [(2000, "Phone: 984-555-0100 today"), (2001, "Phone: 984 555 0101 today"), (2002, "mail ann (at) site.org now")]
+    # What is no data: numbers, codes and words in other places, and in places that hold many other things.
+    docs += [(3000 + k, f"room {rng.randrange(10_000_000)} of {rng.randrange(999)}, see 12 345 678 there") for k in range(200)]
+    docs += [(4000 + k, f"call +1 984 555 {number(k)} later") for k in range(20)] + [(5000 + k, f"call {rng.randrange(10**8)} later") for k in range(200)]
+    got = plain(pii.personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect(), "spans")
+    assert got[2000] == [("like_phone", 7, 19)] and got[2001] == [("like_phone", 7, 19)]
+    assert got[2002] == [("like_email", 5, 22)]
+    assert all(not any(kind.startswith("like_") for kind, *_ in got[i]) for i, _ in docs if i >= 3000)
+
+
+def test_given_documents_have_no_false_discoveries(spark, docs):
+    """Discovered spans lie in documents that hold a seed's context; clean ones keep none."""
+    got = plain(pii.personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect(), "spans")
+    new = [i for i, spans in got.items() if any(kind.startswith("like_") for kind, *_ in spans)]
+    assert len(new) <= 0.01 * len(docs)
+
+
+def test_base_of_random_signs():
+    rng = random.Random(9)
+    for _ in range(3000):
+        text = "".join(rng.choice(["1", "25", "255", "256", ".", ".", "@", "a", "b-", "_", "%", " ", "+", "(", "-", "4111111111111111", "é"]) for _ in range(rng.randrange(25)))
+        assert pii.seeds(text) == kinds_of_data(text), text
+
+
+@pytest.mark.parametrize("text", [
+    "1" * 1_000_000, "a" * 1_000_000 + " @", "1." * 500_000, "a@" * 500_000, "a@b-" * 250_000, "+1 (" * 250_000, "12 " * 330_000, "+1 984 555 5227 99 " * 50_000, "[at] " * 200_000,
+])
+def test_long_texts_take_time_by_their_length(text):
+    start = time.process_time()
+    pii.mentions(text, pii.seeds(text))
+    assert time.process_time() - start < 12
+
+
 def words_of(text):
     lowered = "".join(c.lower() if c in string.ascii_uppercase else c for c in text)
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
