@@ -10,7 +10,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelle.llm.common import documents, shared_folder
+from parcelle.llm.common import documents, remove, shared_folder
 from parcelle.llm.decontaminate import without_leaks
 from parcelle.llm.near_dedup import without_duplicates
 from parcelle.llm.packing import pack_documents
@@ -56,10 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over the documents; what one hands on lies in the shared folder."""
+    """The stages one after the other over the documents; what one hands on lies in the shared folder until the next is written."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid4()}"
     docs = documents(spark, sf_dir)
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            remove(spark, f"{folder}/{number - 1}")
     return docs

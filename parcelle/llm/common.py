@@ -31,13 +31,22 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for what jobs hand on to each other."""
+    """The folder for what jobs hand on to each other. A cluster has to name it."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        given = spark.conf.get("spark.checkpoint.dir", None)
+        if not given and context.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(given or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Removes a folder that was handed on and is read no more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(df: DataFrame, most_rows: int = 20_000) -> DataFrame:
     """A hint to broadcast a table that was counted and found small; else the table as it is."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

@@ -4,19 +4,22 @@ Numbers, names and units become typed placeholders, in benchmark items and in do
 of the canonical words are hashed and joined; a pair of document and item with enough common
 windows, in which each slot of the item is filled in one way, is a leak, also where the question
 was given other parameters. Plain lower-case windows are looked up beside the canonical ones.
-Only windows that pass a bitmap of the benchmark's leave a task; its size is fixed.
+Only windows that pass a bitmap of the benchmark's leave a task; its size follows their number, to a bound.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.llm.common import Words, cut, documents, hash64, raw_texts, small, windows
+from parcelle.llm.grams import Filter, slices
 
 WIDTH = 5
 #: Share of an item's windows that have to be found in a document.
@@ -43,23 +46,28 @@ _WITH_UNIT = re.compile(rb"[0-9]+(?:[.,][0-9]+)*([a-z]+)")
 _NAME, _NUM, _UNIT = (np.uint64(hash64(b"<%s>" % kind)) for kind in (b"name", b"number", b"unit"))
 
 
+_KINDS = {**dict.fromkeys((w.encode() for w in NUMBERS), int(_NUM)), **dict.fromkeys((w.encode() for w in UNITS), int(_UNIT))}
+_AFTER_END = b"\"')]}*#$%&"
+
+
 def facts(word: bytes) -> tuple:
     """Plain hash, canonical hash, whether canonical is a slot, may be a name, ends a sentence, is no word."""
-    low = word.decode("utf-8", "replace").lower().encode()
-    inner = low.strip(_EDGE)
-    ends = word.rstrip(b"\"')]}*#$%&")[-1:] in (b".", b"!", b"?")
-    bare = word.strip(_EDGE).decode("utf-8", "replace")
-    plain = np.uint64(hash64(inner))
-    name = inner.decode("utf-8", "replace")
-    if _NUMBER.fullmatch(inner) or name in NUMBERS:
-        kind = _NUM
-    elif name in UNITS:
-        kind = _UNIT
-    elif (m := _WITH_UNIT.fullmatch(inner)) and m[1].decode() in UNITS:
-        kind = _NUM ^ _UNIT
+    if word.isascii():
+        inner, bare = word.lower().strip(_EDGE), word.strip(_EDGE)
+    else:
+        inner, bare = word.decode("utf-8", "replace").lower().encode().strip(_EDGE), word.strip(_EDGE).decode("utf-8", "replace")
+    plain = xxhash.xxh3_64_intdigest(inner)
+    if inner[:1].isdigit():
+        if _NUMBER.fullmatch(inner):
+            kind = int(_NUM)
+        else:
+            unit = _WITH_UNIT.fullmatch(inner)
+            kind = int(_NUM ^ _UNIT) if unit and unit[1].decode() in UNITS else plain
     else:
-        kind = plain
-    return plain, kind, kind != plain, len(bare) > 1 and bare[0].isupper() and bare[1:].islower(), ends, not inner
+        kind = _KINDS.get(inner, plain)
+    title = bare[:1].isupper() and len(bare) > 1 and bare[1:].islower()
+    ends = (word if word[-1:] not in _AFTER_END else word.rstrip(_AFTER_END))[-1:] in (b".", b"!", b"?")
+    return plain, kind, kind != plain, title, ends, not inner
 
 
 def word_table() -> Words:
@@ -109,30 +117,84 @@ WINDOW = "hash long, place long, is_first boolean, slots array<long>"
 _LIST = pa.list_(pa.int64())
 
 
-def _windows_of(rows: DataFrame, passes, schema_head: str) -> DataFrame:
+def _hits(table: Words, texts: list[bytes], passes) -> list[tuple]:
+    """Windows of the texts that ``passes`` lets through: text, hash, place, whether the first of that hash in the text, slot fillings.
+
+    The forms of :func:`window_forms` for all texts at once, in its order.
+    """
+    split = [t.split() for t in texts]
+    at = table.rows(list(chain.from_iterable(split)))
+    text = np.repeat(np.arange(len(texts)), [len(words) for words in split])
+    plain, kind, slot, title, ends, empty = (c[at] for c in table.columns)
+    first = np.ones(len(at), bool)
+    first[1:] = ends[:-1] | (text[1:] != text[:-1])
+    keep = ~empty
+    text, plain, kind, slot, title, first = (c[keep] for c in (text, plain, kind, slot, title & ~slot, first))
+    out: list[tuple] = []
+    sizes = np.bincount(text, minlength=len(texts))
+    for short in np.flatnonzero((sizes > 0) & (sizes < WIDTH)).tolist():
+        own, _, forms = window_forms(table, texts[short])
+        seen = {}
+        for found, slots in forms:
+            if passes(found)[0]:
+                seen.setdefault(int(found[0].astype(np.int64)), slots)
+        out += [(short, value, 0, True, _slots(own, slots, 0)) for value, slots in seen.items()]
+    n = len(plain) - WIDTH + 1
+    if n <= 0:
+        return out
+
+    def many(flags: np.ndarray) -> np.ndarray:
+        """How many of the words of each window."""
+        sums = np.concatenate([[0], np.cumsum(flags)])
+        return sums[WIDTH:] - sums[:-WIDTH]
+
+    whole = text[:n] == text[WIDTH - 1:]
+    as_written = windows(plain, WIDTH)
+    name = title & ~first
+    slot_1 = slot | name
+    form_1 = np.where(many(slot_1) <= WIDTH - LEAST_PLAIN, windows(np.where(name, _NAME, kind), WIDTH), as_written)
+    # The second reading differs only in windows with a name at the beginning of a sentence.
+    changed = np.flatnonzero(whole & (many(title & first) > 0))
+    inside = changed[:, None] + np.arange(WIDTH)
+    form_2 = as_written[changed]
+    if len(changed):
+        few = (slot | title)[inside].sum(1) <= WIDTH - LEAST_PLAIN
+        form_2 = np.where(few, windows(np.where(title, _NAME, kind)[inside].ravel(), WIDTH)[::WIDTH], form_2)
+    found = [(np.flatnonzero(whole & passes(form_1)), form_1, slot_1), None, (np.flatnonzero(whole & passes(as_written)), as_written, slot_1)]
+    passing = np.flatnonzero(passes(form_2))
+    places = np.concatenate([found[0][0], changed[passing], found[2][0]])
+    if not len(places):
+        return out
+    values = np.concatenate([form_1[found[0][0]], form_2[passing], as_written[found[2][0]]]).view(np.int64)
+    forms = np.repeat([0, 1, 2], [len(found[0][0]), len(passing), len(found[2][0])])
+    begins = np.searchsorted(text, np.arange(len(texts)))
+    both = slot | title
+    seen, known = set(), set()
+    for k in np.lexsort((places, forms, text[places])).tolist():
+        place, value = int(places[k]), int(values[k])
+        if (place, value) in seen:
+            continue
+        seen.add((place, value))
+        own = int(text[place])
+        out.append((own, value, place - int(begins[own]), (own, value) not in known, _slots(plain, both if forms[k] == 1 else slot_1, place)))
+        known.add((own, value))
+    return out
+
+
+def _windows_of(rows: DataFrame, passes: Filter, schema_head: str) -> DataFrame:
     """Windows (hash, place, whether the first of that hash, slot fillings) of each row (a key, a text) that ``passes`` lets through."""
+    shared = rows.sparkSession.sparkContext.broadcast(passes)
+
     def run(batches):
         table = word_table()
         for batch in batches:
-            row, hashes, places, firsts, slots = [], [], [], [], []
-            for i, text in enumerate(raw_texts(batch.column(batch.num_columns - 1))):
-                plain, _, forms = window_forms(table, text)
-                seen: dict[tuple[int, int], np.ndarray] = {}
-                for found, slot in forms:
-                    for at in np.flatnonzero(passes(found)).tolist():
-                        seen.setdefault((int(found[at].astype(np.int64)), at), slot)
-                before: set[int] = set()
-                for (value, at), slot in seen.items():
-                    row.append(i)
-                    hashes.append(value)
-                    places.append(at)
-                    firsts.append(value not in before)
-                    before.add(value)
-                    slots.append(_slots(plain, slot, at))
-            index = pa.array(row, pa.int64())
-            heads = [c.take(index) for c in batch.columns[:-1]]
+            texts = raw_texts(batch.column(batch.num_columns - 1))
+            found = [(a + text, *more) for a, b in slices(texts) for text, *more in _hits(table, texts[a:b], shared.value)]
+            index, *made = ([f[k] for f in found] for k in range(5))
+            index = pa.array(index, pa.int64())
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), _LIST)
             yield pa.RecordBatch.from_arrays(
-                [*heads, pa.array(hashes, pa.int64()), pa.array(places, pa.int64()), pa.array(firsts, pa.bool_()), pa.array(slots, _LIST)],
+                [*(c.take(index) for c in batch.columns[:-1]), *map(pa.array, made, kinds)],
                 [*batch.schema.names[:-1], "hash", "place", "is_first", "slots"],
             )
     return rows.mapInArrow(run, f"{schema_head}, {WINDOW}")
@@ -204,16 +266,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key="doc_id", text: str = "text
     """
     keys = F.col(key) if isinstance(key, str) else key
     index = cut(item_windows(benchmark, item, item_text))
-    known = np.packbits(bitmap_of(index), bitorder="little")
-    mask = np.uint64((1 << BITMAP_BITS) - 1)
-
-    def passes(hashes: np.ndarray) -> np.ndarray:
-        low = (hashes & mask).astype(np.int64)
-        return (known[low >> 3] >> (low & 7).astype(np.uint8)) & 1
-
     rows = docs.select(keys.alias("key"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    hits = _windows_of(rows, passes, f"key {kind}, row long")
+    hits = _windows_of(rows, Filter(index, "hash", index.count()), f"key {kind}, row long")
     found = cut(hits.join(small(index, 100_000), "hash"))
     found = found.withColumn("shift", F.col("place") - F.col("at"))
     share = lambda n: F.col(n) / F.col("n_windows") >= least_share

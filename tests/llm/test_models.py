@@ -275,6 +275,86 @@ def test_main_text():
     assert main_text.main_text("<div>" * 20_000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize("name", [
+    "container has-sidebar", "post no-comments", "layout-with-menu", "main-content social-post", "entry share-enabled", "rail-history", "col-md-8 content", "wrapper"])
+def test_wrappers_keep_their_article(name):
+    said = [f"Paragraph {k} of the story, which goes on, with commas, for a good while." for k in range(5)]
+    inner = "".join(f"<p>{x}</p>" for x in said)
+    aside = '<div class="related-posts"><p>Another story, which you may like, too, if you liked this.</p></div><div class="comments"><p>Reader: I liked it, a lot, yes.</p></div>'
+    for page in (f'<div class="{name}">{inner}</div>', f'<body><div class="{name}">{inner}{aside}</div></body>', f'<div class="{name}"><h1>T</h1>{inner}</div><div class="sidebar"><p>At the side, text, and more text, and links.</p></div>'):
+        assert [x for x in main_text.main_text(page).split("\n") if x != "T"] == said, page
+
+
+def paragraph_points(page):
+    """Points of each element of a small page without ``article``, straight from the rule: by parsing with ids."""
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.stack, self.text, self.linked, self.parent, self.in_link = ["root"], Counter(), Counter(), {"root": None}, 0
+
+        def handle_starttag(self, tag, attrs):
+            name = dict(attrs).get("id", f"{tag}{len(self.parent)}")
+            self.parent[name] = self.stack[-1]
+            self.stack.append(name)
+            self.in_link += tag == "a"
+
+        def handle_endtag(self, tag):
+            self.stack.pop()
+            self.in_link -= tag == "a"
+
+        def handle_data(self, data):
+            for name in self.stack:
+                self.text[name] += len(data)
+                self.linked[name] += len(data) if self.in_link else 0
+                self.commas = getattr(self, "commas", Counter())
+                self.commas[name] += data.count(",")
+
+    tree = Tree()
+    tree.feed(page)
+    points = Counter()
+    for name in tree.parent:
+        if name[0] == "p" and tree.text[name] >= 25:
+            given, up = 1 + tree.commas[name] + min(tree.text[name] / 100, 3), tree.parent[name]
+            for divisor in (1, 2, 6, 9):
+                if up is None:
+                    break
+                points[up] += given / divisor
+                up = tree.parent[up]
+    return {name: points[name] * (1 - tree.linked[name] / tree.text[name]) for name in points}
+
+
+def test_best_container_by_the_rule():
+    """Pages of unnamed boxes: the text comes from the box with the most points, found by a plain reading of the rule."""
+    rng = random.Random(3)
+    for _ in range(60):
+        boxes = []
+        for k in range(rng.randrange(2, 5)):
+            words = lambda n: " ".join(rng.choice(["word", "and,", "so", "it,", "goes"]) for _ in range(n))
+            inner = "".join(f'<p id="p{k}_{j}">{"<a>" if (link := rng.random() < 0.3) else ""}{words(rng.randrange(8, 40))}{"</a>" if link else ""}</p>' for j in range(rng.randrange(1, 6)))
+            boxes.append(f'<div id="d{k}">{inner}</div>')
+        points = paragraph_points("".join(boxes))
+        best = max(points, key=lambda name: (points[name], name == "root", -int(name[1:] or 0) if name != "root" else 0))
+        wanted = boxes if best == "root" else [boxes[int(best[1:])]]
+        import re
+        lines = [re.sub("<[^>]*>", "", p) for box in wanted for p in re.findall(r"<p[^>]*>(.*?)</p>", box)]
+        got = main_text.main_text("".join(boxes)).split("\n")
+        assert all(line in got for line in lines), (points, boxes)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 330_000, "<b>" * 100_000 + "<li>" * 100_000, "<ul>" * 100_000 + "<li>" * 100_000, "<b>" * 100_000 + "</i>" * 100_000, '<a x=">" ' * 110_000, "<a '\">" * 140_000,
+    "<td>" * 200_000, "<p><div>" * 120_000, "<" * 1_000_000, "<!-- " * 200_000, "<textarea>" * 100_000, "<div class='sidebar'>" * 50_000,
+])
+def test_long_broken_pages_take_time_by_their_length(page):
+    import time
+
+    start = time.process_time()
+    main_text.main_text(page)
+    assert time.process_time() - start < 12
+
+
 def test_main_text_of_given_pages(spark, sf_dir):
     import html
     import re
@@ -285,3 +365,31 @@ def test_main_text_of_given_pages(spark, sf_dir):
         blocks = re.sub(r"<br>", " ", re.sub(r"</?(?:p|h1)>", "\0", article))
         want = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks.split("\0")]
         assert rows[page_id] == "\n".join(b for b in want if b)
+
+
+def test_windows_of_many_texts_are_those_of_each():
+    """Texts read together give the forms, places and fillings of texts read alone."""
+    rng = random.Random(6)
+    words = ["Tom", "Ann", "has", "4", "red", "pens.", "runs", "3", "miles", "in", "(two)", "hours?", "--", "Is", "it", "Kim", "5km", "...", "so,", "Éva"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(14))).encode() for _ in range(400)]
+    table = decontaminate.word_table()
+    for share in (1, 3):
+        passes = lambda h, share=share: h % np.uint64(share) == 0
+        want = []
+        for i, text in enumerate(texts):
+            plain, _, forms = decontaminate.window_forms(table, text)
+            seen, before = {}, set()
+            for found, slot in forms:
+                for at in np.flatnonzero(passes(found)).tolist():
+                    seen.setdefault((int(found[at].astype(np.int64)), at), slot)
+            for (value, at), slot in seen.items():
+                want.append((i, value, at, value not in before, plain[at:at + 5][slot[at:at + 5]].view(np.int64).tolist()))
+                before.add(value)
+        assert sorted(decontaminate._hits(table, texts, passes)) == sorted(want)
+
+
+def test_an_empty_benchmark_leaks_nothing(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, None)], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.leaks(docs, none).collect() == []
+    assert decontaminate.without_leaks(docs, none).count() == 2

@@ -46,6 +46,24 @@ def test_same_rows(spark, width, mark, words):
     assert sorted(got, key=str) == brute_force(rows, width)
 
 
+def test_filters_that_let_all_through(spark, monkeypatch):
+    """A filter that is full costs time and changes nothing."""
+    monkeypatch.setattr(grams.Filter.__init__, "__defaults__", (4,))
+    rng = random.Random(8)
+    rows = [(k, " ".join(drawn(rng, 60, 30))) for k in range(40)]
+    rows += [(50 + k, " ".join(rows[k][1].split()[5:40]) + f" end{k}") for k in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r)[:4] for r in repeated_passages(df, width=8, mark=3).collect()]
+    assert sorted(got, key=str) == brute_force(rows, 8)
+
+
+def test_very_long_texts(spark):
+    rows = [(1, "x" * 300_000 + " " + "a b " * 3000), (2, " ".join(f"w{k}" for k in range(200_000))), (3, " ".join(f"w{k}" for k in range(70_000, 70_100)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = [tuple(r)[:4] for r in repeated_passages(df).collect()]
+    assert sorted(got, key=str) == brute_force(rows, 35)
+
+
 def test_kept_text_and_spans(spark):
     shared = " ".join(f"s{k}" for k in range(50))
     df = spark.createDataFrame([(1, f"a b {shared} c"), (2, f"{shared} d\ne"), (3, "other words")], "doc_id long, text string")

@@ -97,6 +97,13 @@ def test_bounds_hold_and_prune():
     assert search.scored < 0.5 * search.leaves
 
 
+def test_very_long_texts(spark):
+    docs = [(1, "one " * 300_000), (2, "x" * 200_000 + " two"), (3, " ".join(f"w{k}" for k in range(100_000))), (4, "one two w5")]
+    items = [(1, "ONE two"), (2, " ".join(f"W{k}" for k in range(0, 100_000, 7)))]
+    found = ranked_documents(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, found.collect()), key=str) == brute_force(docs, items)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a b")], "item_id int, text string")
