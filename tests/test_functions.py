@@ -266,8 +266,8 @@ def test_flat_html(spark):
     assert each(spark, lambda v: html.attribute_values(v, "a", "href"), [page]) == [
         ["/l'agence_1.htm", "/café_2.htm", "/z_3.htm", "/d", "1", "/t"],
     ]
-    tree = page_rules.read_page(page)
-    assert page_rules.values("a[href]", "href").take(tree) == ["/l'agence_1.htm", "/café_2.htm", "/z_3.htm", "/d", "1", "/t"]
+    reader = page_rules.Reader([page_rules.values("a[href]", "href")])
+    assert reader.read(page) == (["/l'agence_1.htm", "/café_2.htm", "/z_3.htm", "/d", "1", "/t"],)
 
 
 def test_references(spark):
