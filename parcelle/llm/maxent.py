@@ -44,6 +44,8 @@ TOKENS_OF_A_PART = 8_000_000
 #: Different words that a task counts before they leave it.
 MOST_KEPT = 300_000
 _ROWS_SENT = 1 << 11
+#: Rows of a group that are added together with those of other groups; logits whose exp is far inside single precision.
+_ROWS_AT_ONCE, _LARGE = 16, 60.0
 _START, _END = np.uint64(0x9E6C63D0876A9A4B), np.uint64(0xC2B2AE3D27D4EB4F)
 _SEPARATORS = BLANKS.encode()
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -177,12 +179,13 @@ def class_of_ending(endings: np.ndarray, classes: int) -> np.ndarray:
 
 
 def logits(model: Model, rows: np.ndarray) -> np.ndarray:
-    """Of each token the logits of its classes, the largest of them 0."""
-    total = model.weights[rows[0]]
+    """Of each token the logits of its classes, less a number of its own where they might leave the range of exp."""
+    total = model.weights.take(rows[0], axis=0)
     for more in rows[1:]:
-        total += model.weights[more]
+        total += model.weights.take(more, axis=0)
     total += model.prior
-    total -= total.max(axis=1, keepdims=True)
+    if total.size and not -_LARGE < total.min() <= total.max() < _LARGE:
+        total -= total.max(axis=1, keepdims=True)
     return total
 
 
@@ -190,24 +193,52 @@ def log_chances(model: Model, rows: np.ndarray, classes: np.ndarray) -> np.ndarr
     """Natural logarithm of the probability of each token's class."""
     total = logits(model, rows)
     own = total[np.arange(len(classes)), classes]
-    return own - np.log(np.exp(total, out=total).sum(axis=1))
+    return own - np.log(_row_sums(np.exp(total, out=total)))
+
+
+def _row_sums(values: np.ndarray) -> np.ndarray:
+    return np.einsum("ij->i", values)
+
+
+def group_sums(values: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of rows by group, the groups from large to small: ``sizes`` places of ``order``, from ``first`` on.
+
+    Most groups have a row or two, and a few very many: the k-th rows of all groups that have so many
+    are added at once, and what is left of the largest group by group.
+    """
+    sums, least = values.take(order[first], axis=0), -sizes
+    for k in range(1, _ROWS_AT_ONCE):
+        longer = int(np.searchsorted(least, -k))  # groups of more than k rows
+        if not longer:
+            return sums
+        sums[:longer] += values.take(order[first[:longer] + k], axis=0)
+    for g in range(int(np.searchsorted(least, -_ROWS_AT_ONCE))):
+        sums[g] += values.take(order[first[g] + _ROWS_AT_ONCE:first[g] + sizes[g]], axis=0).sum(axis=0)
+    return sums
 
 
 def step(model: Model, rows: np.ndarray, classes: np.ndarray) -> None:
     """One gradient step over a batch of tokens, each row at a rate that falls with its past gradients."""
     gradient = logits(model, rows)
     np.exp(gradient, out=gradient)
-    gradient /= gradient.sum(axis=1, keepdims=True)
+    gradient /= _row_sums(gradient)[:, None]
     n = len(classes)
     gradient[np.arange(n), classes] -= 1
-    flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    ordered = flat[order]
+    # A row of the weights and a place in one number, which sort faster than places by rows.
+    keys = rows.ravel().astype(np.int64) << 32 | np.tile(np.arange(n), len(rows))
+    keys.sort()
+    ordered, order = keys >> 32, keys & 0xFFFFFFFF
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    sizes = np.diff(first, append=len(ordered))
+    by_size = np.argsort(-sizes)
+    first, sizes = first[by_size], sizes[by_size]
     touched = ordered[first]
-    sums = np.add.reduceat(gradient[order % n], first, axis=0)
-    model.squares[touched] += np.square(sums).sum(axis=1)
-    model.weights[touched] -= RATE * sums / np.sqrt(model.squares[touched] + 1)[:, None]
+    sums = group_sums(gradient, order, first, sizes)
+    squares = model.squares[touched] + np.einsum("ij,ij->i", sums, sums)
+    model.squares[touched] = squares
+    sums *= (-RATE / np.sqrt(squares + 1))[:, None]
+    sums += model.weights.take(touched, axis=0)
+    model.weights[touched] = sums
 
 
 def train(texts: DataFrame, model: Model, parts: int) -> Model:

@@ -47,6 +47,23 @@ def test_softmax_is_a_distribution():
     assert chances(5).sum() > before
 
 
+def test_gradients_are_summed_by_row():
+    rng = np.random.default_rng(1)
+    values = rng.normal(size=(300, 7)).astype(np.float32)
+    sizes = np.array([90, 17, 16, 15, 2, 1, 1])  # more rows than are added at once, as many, and fewer
+    order = rng.integers(0, 300, sizes.sum())
+    first = np.cumsum(sizes) - sizes
+    got = maxent.group_sums(values, order, first, sizes)
+    assert np.allclose(got, [values[order[a:a + n]].astype(np.float64).sum(axis=0) for a, n in zip(first, sizes)], atol=1e-4)
+
+
+def test_large_logits_stay_a_distribution():
+    model = maxent.Model([1], np.zeros(maxent.CLASSES))
+    model.weights[:, 3], model.weights[:, 4] = 200, -200
+    rows = np.zeros((maxent.FEATURES, 2), np.int32)
+    assert np.allclose(maxent.log_chances(model, rows, np.array([3, 4])), [0, -1200])
+
+
 def repeats(words):
     runs = [tuple(words[k:k + 5]) for k in range(len(words) - 4)]
     found = Counter(runs)
