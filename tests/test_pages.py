@@ -245,3 +245,22 @@ def test_records_survive_the_round_trip_to_silver(spark):
     assert (row_a.id, row_a.price, row_a.surface_habitable, row_a.offre_match) == ("123", 850000.0, "90 m²", True)
     assert (row_m.id, row_m.price, row_m.type_de_bien, row_m.city) == ("77", 1850000.0, "Riad", "Rabat")
     assert json.loads(raw(a).first().payload)["seller_type"] == "Boutique"
+
+
+def test_a_page_leaves_nothing_to_the_collector_and_tags_are_read_once(monkeypatch):
+    import gc
+
+    from parcelle.operators import page_rules
+
+    read, attributes = [], page_rules._attributes
+    monkeypatch.setattr(page_rules, "_attributes", lambda tag: read.append(tag) or attributes(tag))
+    reader = page_rules.Reader([page_rules.text("p"), page_rules.values("img", "src"), page_rules.values("div img", "alt"), page_rules.pairs("div", "p", "b")])
+    page = '<div><img src="a" alt="b"><p>x</p><b>y</b></div><img src="a" alt="b">'
+    gc.collect()
+    gc.disable()
+    try:
+        assert reader.read(page) == ("x", ["a", "a"], ["b"], {"x": "y"})
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
+    assert read == ['<img src="a" alt="b">']
